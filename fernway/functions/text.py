@@ -26,14 +26,10 @@ def terms(text: Column) -> Column:
 
 
 def ngrams(tokens: Column, n: int) -> Column:
-    """Array of ``n`` neighbouring tokens joined by a space."""
-    last = F.size(tokens) - n + 1
-    return F.when(
-        last >= 1,
-        F.transform(
-            F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(tokens, i, n), " ")
-        ),
-    ).otherwise(F.array().cast("array<string>"))
+    """Array of ``n`` neighbouring tokens joined by a space; linear in the text."""
+    count = F.greatest(F.size(tokens) - n + 1, F.lit(0))
+    shifted = F.arrays_zip(*[F.slice(tokens, i + 1, count).alias(f"g{i}") for i in range(n)])
+    return F.transform(shifted, lambda g: F.concat_ws(" ", *[g[f"g{i}"] for i in range(n)]))
 
 
 def literal_map(pairs: dict) -> Column:
@@ -80,9 +76,8 @@ def codes(text: Column) -> Column:
 def language_hits(text: Column, stop_words: dict[str, list[str]]) -> Column:
     """Struct of stop-word counts per language."""
     tokens = terms(text)
-    return F.struct(
-        *[
-            F.size(F.filter(tokens, lambda t, ws=ws: t.isin(ws))).alias(lang)
-            for lang, ws in stop_words.items()
-        ]
-    )
+
+    def hits(listed: list[str]) -> Column:
+        return F.size(F.filter(tokens, lambda t: t.isin(listed)))
+
+    return F.struct(*[hits(listed).alias(lang) for lang, listed in stop_words.items()])

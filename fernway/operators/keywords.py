@@ -11,14 +11,12 @@ from ..functions.text import codes, email_addresses, terms
 def extract_keywords(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     """The ``n`` terms of each document with the highest tf·idf, rounded to 6 places.
 
-    Term counts per document are made where the document is (no token is shuffled); only one row
-    per document and distinct term moves on. Document frequencies join through
-    ``lookup_join``, since a common word may be in most documents.
+    Map tasks count terms before the exchange, so one row per document and distinct term
+    moves on, not one per token. Document frequencies join through ``lookup_join``, since
+    a common word may be in most documents.
     """
-    listed = docs.select(key, terms(F.col(text)).alias("_terms"))
-    counted = listed.select(
-        key, F.explode(_term_counts(F.col("_terms"))).alias("e")
-    ).select(key, F.col("e.term").alias("term"), F.col("e.tf").alias("tf"))
+    tokens = docs.select(key, F.explode(terms(F.col(text))).alias("term"))
+    counted = tokens.groupBy(key, "term").agg(F.count("*").alias("tf"))
     frequency = counted.groupBy("term").agg(F.count("*").alias("df"))
     total = docs.where(F.col(text).isNotNull()).count()
     joined = lookup_join(counted, frequency, ["term"], "inner")
@@ -28,22 +26,6 @@ def extract_keywords(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     return ranked.where(F.col("rank") <= n).select(key, "term", "weight", "rank")
 
 
-def _term_counts(tokens):
-    """Distinct terms of a token array with their counts, by lengths of equal runs."""
-    ordered = F.array_sort(tokens)
-    size = F.size(ordered)
-    starts = F.filter(
-        F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>")),
-        lambda i: (i == 1) | (F.get(ordered, i - 1) != F.get(ordered, i - 2)),
-    )
-    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))), F.array(size + 1))
-    return F.zip_with(
-        starts,
-        ends,
-        lambda a, b: F.struct(F.get(ordered, a - 1).alias("term"), (b - a).alias("tf")),
-    )
-
-
 def extract_emails(docs: DataFrame, key: str, text: str) -> DataFrame:
     """One row per address found, with its name part."""
     found = docs.select(key, F.explode(email_addresses(F.col(text))).alias("e"))
@@ -51,8 +33,8 @@ def extract_emails(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def extract_codes(docs: DataFrame, text: str) -> DataFrame:
-    """Each code in the texts with its number of uses and of documents."""
-    found = docs.select(F.explode(F.transform(codes(F.col(text)), lambda c: c)).alias("code"))
+    """Each code in the texts with its number of uses."""
+    found = docs.select(F.explode(codes(F.col(text))).alias("code"))
     return found.groupBy("code").agg(F.count("*").alias("n_uses"))
 
 

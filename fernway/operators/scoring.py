@@ -75,7 +75,7 @@ def score_label_guideline(response: Column, labels: list[str] = PRODUCT_LABELS)
 def score_rationale(response: Column, max_words: int = 60) -> Column:
     """Passes when exactly one sentence follows the label and it is not too long."""
     parts = F.filter(
-        F.transform(F.split(response, r"[.!?]+(\s+|$)"), F.trim), lambda s: s != ""
+        F.transform(F.split(response, r"[.!?]+(\s+|$)"), lambda s: F.trim(s)), lambda s: s != ""
     )
     reason = F.get(parts, F.lit(1))
     return yes_no((F.size(parts) == 2) & (word_count(reason) <= max_words))

@@ -1064,9 +1064,10 @@ def stream_index_sync(t: Tables) -> DataFrame:
 def stream_quality_monitor(t: Tables) -> DataFrame:
     figures = monitor.stream_quality_monitor(
         t.spark,
-        f"{t.sf_dir}/events.parquet",
+        t.sf_dir,
         t.events.schema,
         new_work_path(t.spark, "monitor"),
+        glob="events.parquet",
     )
     return figures.withColumn(
         "window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")

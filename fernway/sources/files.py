@@ -74,7 +74,7 @@ def parse_article(files: DataFrame) -> DataFrame:
             h["Category"].alias("category"),
             h["Subcategory"].alias("subcategory"),
             h["Title"].alias("title"),
-            F.transform(F.split(h["Tags"], ","), F.trim).alias("tags"),
+            F.transform(F.split(h["Tags"], ","), lambda tag: F.trim(tag)).alias("tags"),
             F.try_to_timestamp(h["Last Updated"]).alias("last_updated"),
             F.try_to_timestamp(h["Generated"]).alias("generated"),
             _body(F.col("text")).alias("body"),

@@ -23,6 +23,7 @@ def stream_quality_monitor(
     window: str = "1 day",
     delay: str = "1 day",
     files_per_batch: int = 1000,
+    glob: str = "*.parquet",
 ) -> DataFrame:
     """Watermarked tumbling windows over a folder of event files; runs until all are read.
 
@@ -31,7 +32,9 @@ def stream_quality_monitor(
     batch is repeated. The result is every window's newest figures.
     """
     events = (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .option("pathGlobFilter", glob)
         .parquet(source)
         .withColumn("ts", F.col("ts").cast("timestamp"))
         .withWatermark("ts", delay)
