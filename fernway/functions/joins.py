@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
-SALTS = 32
 
 
 def fits_broadcast(
@@ -33,27 +32,14 @@ def fits_broadcast(
     return rows <= max_rows and (size or 0) <= max_bytes
 
 
-def lookup_join(
-    big: DataFrame,
-    small: DataFrame,
-    on: list[str],
-    how: str = "left",
-    *,
-    salts: int = SALTS,
-    max_rows: int = BROADCAST_ROWS,
-    max_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """Equi-join ``big`` to ``small`` (inner or left) without trusting key balance.
-
-    A measured small side is broadcast, so hot keys of ``big`` stay where they are.
-    Beyond the limit the small side is repeated once per salt and ``big`` is spread
-    over the salts by a hash of its whole row, so a retried task salts alike. This cuts
-    any hot key into ``salts`` parts; the result is equal.
+def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Equi-join to a dimension whose few keys may each be held by very many rows.
+
+    A side measured to be within the limits is broadcast, so hot keys of ``big`` stay where
+    they are. A larger side takes Spark's shuffled join, where adaptive execution splits
+    the partitions that a hot key fills (``session.SQL_SETTINGS`` turns that on). Measuring
+    reads ``small`` once, so it should be cheap to compute.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("lookup_join serves inner and left joins")
-    if fits_broadcast(small, max_rows, max_bytes):
-        return big.join(F.broadcast(small), on, how)
-    spread = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
-    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(repeated, [*on, "_salt"], how).drop("_salt")
+    if fits_broadcast(small):
+        small = F.broadcast(small)
+    return big.join(small, on, how)

@@ -73,11 +73,6 @@ def codes(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(CODE), F.lit(0))
 
 
-def language_hits(text: Column, stop_words: dict[str, list[str]]) -> Column:
-    """Struct of stop-word counts per language."""
-    tokens = terms(text)
-
-    def hits(listed: list[str]) -> Column:
-        return F.size(F.filter(tokens, lambda t: t.isin(listed)))
-
-    return F.struct(*[hits(listed).alias(lang) for lang, listed in stop_words.items()])
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

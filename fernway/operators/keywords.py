@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..functions.joins import lookup_join
 from ..functions.text import codes, email_addresses, terms
 
 
@@ -12,14 +11,14 @@ def extract_keywords(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     """The ``n`` terms of each document with the highest tf·idf, rounded to 6 places.
 
     Map tasks count terms before the exchange, so one row per document and distinct term
-    moves on, not one per token. Document frequencies join through ``lookup_join``, since
-    a common word may be in most documents.
+    moves on, not one per token. A common word may be in most documents: the join to its
+    frequency is one that adaptive execution broadcasts or splits.
     """
     tokens = docs.select(key, F.explode(terms(F.col(text))).alias("term"))
     counted = tokens.groupBy(key, "term").agg(F.count("*").alias("tf"))
     frequency = counted.groupBy("term").agg(F.count("*").alias("df"))
     total = docs.where(F.col(text).isNotNull()).count()
-    joined = lookup_join(counted, frequency, ["term"], "inner")
+    joined = counted.join(frequency, "term")
     weight = F.round(F.col("tf") * F.log(F.lit(total + 1.0) / (F.col("df") + 1.0)), 6)
     order = W.partitionBy(key).orderBy(F.desc("weight"), F.col("term"))
     ranked = joined.withColumn("weight", weight).withColumn("rank", F.row_number().over(order))

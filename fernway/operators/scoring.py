@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import ns_to_seconds
-from ..functions.text import language_hits, literal_map, ngrams, terms, word_count
+from ..functions.text import bind, literal_map, ngrams, terms, word_count
 
 # Labels, ratings, weights and limits the results must agree on.
 PRODUCT_LABELS = [
@@ -143,17 +143,34 @@ def score_correctness(verdict: Column, target: Column, prediction: Column) -> Co
 
 def score_language(text: Column, stop_words: dict[str, list[str]] = STOP_WORDS) -> Column:
     """``(language, share)``: most stop words among the tokens; first name on a tie."""
-    hits = language_hits(text, stop_words)
-    names = sorted(stop_words)
-    top = F.greatest(*[hits[n] for n in names])
-    language = F.lit(None).cast("string")
-    for name in reversed(names):
-        language = F.when(hits[name] == top, name).otherwise(language)
-    total = F.size(terms(text))
-    return F.struct(
-        F.when(top > 0, language).alias("language"),
-        F.when(total > 0, F.round(top / total, 6)).alias("share"),
-    )
+    known = sorted({w for words in stop_words.values() for w in words})
+
+    def hits(held: Column, words: list[str]) -> Column:
+        return F.size(F.filter(held, lambda t: t.isin(words)))
+
+    def best(held: Column) -> Column:
+        return F.array_min(
+            F.array(
+                *[
+                    F.struct((-hits(held, stop_words[name])).alias("n"), F.lit(name).alias("name"))
+                    for name in sorted(stop_words)
+                ]
+            )
+        )
+
+    def judge(tokens: Column) -> Column:
+        stops = F.filter(tokens, lambda t: t.isin(known))
+        return bind(
+            F.struct(
+                bind(stops, lambda held: best(held)).alias("top"), F.size(tokens).alias("total")
+            ),
+            lambda r: F.struct(
+                F.when(r["top"]["n"] < 0, r["top"]["name"]).alias("language"),
+                F.when(r["total"] > 0, F.round(-r["top"]["n"] / r["total"], 6)).alias("share"),
+            ),
+        )
+
+    return bind(terms(text), lambda tokens: judge(tokens))
 
 
 def score_out_of_scope(expected: Column, response: Column) -> Column:
@@ -163,31 +180,38 @@ def score_out_of_scope(expected: Column, response: Column) -> Column:
 
 
 def score_overlap(
-    pairs: DataFrame, key: str, candidate: str, reference: str, n: int
+    pairs: DataFrame, key: str, candidate: str, reference: str, sizes: tuple[int, ...] = (1, 2)
 ) -> DataFrame:
-    """Clipped n-gram precision (BLEU-n part) and recall (ROUGE-n) per pair.
+    """Clipped n-gram precision (BLEU-n part) and recall (ROUGE-n) per pair and n.
 
-    Both texts' n-grams are counted in one aggregate, so nothing is joined, and map
-    tasks combine counts before the exchange.
+    N-grams of both texts and of all sizes are counted in one aggregate, so nothing is
+    joined, and map tasks combine counts before the exchange.
     """
-    def grams(column: str, side: int) -> Column:
+
+    def grams(column: str, side: int, n: int) -> Column:
+        found = F.coalesce(ngrams(terms(F.col(column)), n), F.array().cast("array<string>"))
         return F.transform(
-            ngrams(terms(F.col(column)), n),
-            lambda g: F.struct(g.alias("gram"), F.lit(side).alias("side")),
+            found, lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"), F.lit(side).alias("s"))
         )
 
-    rows = pairs.select(key, F.explode_outer(F.concat(
-        F.coalesce(grams(candidate, 0), F.array().cast("array<struct<gram:string,side:int>>")),
-        F.coalesce(grams(reference, 1), F.array().cast("array<struct<gram:string,side:int>>")),
-    )).alias("g"))
-    counts = rows.groupBy(key, F.col("g.gram").alias("gram")).agg(
-        F.count_if(F.col("g.side") == 0).alias("c"), F.count_if(F.col("g.side") == 1).alias("r")
+    # A marker per size keeps pairs without any n-gram in the result.
+    marks = F.array(
+        *[
+            F.struct(F.lit(n).alias("n"), F.lit(None).cast("string").alias("gram"), F.lit(2).alias("s"))
+            for n in sizes
+        ]
+    )
+    every = [grams(c, side, n) for n in sizes for side, c in ((0, candidate), (1, reference))]
+    rows = pairs.select(key, F.explode(F.concat(marks, *every)).alias("g"))
+    counts = rows.groupBy(key, F.col("g.n").alias("n"), F.col("g.gram").alias("gram")).agg(
+        F.count_if(F.col("g.s") == 0).alias("c"), F.count_if(F.col("g.s") == 1).alias("r")
     )
-    totals = counts.groupBy(key).agg(
+    totals = counts.groupBy(key, "n").agg(
         F.sum(F.least("c", "r")).alias("hits"), F.sum("c").alias("c"), F.sum("r").alias("r")
     )
     return totals.select(
         key,
+        "n",
         F.round(F.when(F.col("c") > 0, F.col("hits") / F.col("c")), 6).alias("precision"),
         F.round(F.when(F.col("r") > 0, F.col("hits") / F.col("r")), 6).alias("recall"),
     )

@@ -96,10 +96,14 @@ def duplicate_keys(features: DataFrame, keys: list[str]) -> DataFrame:
 def feature_lookup(
     requests: DataFrame, features: DataFrame, keys: list[str], check: bool = False
 ) -> DataFrame:
-    """Columns of a feature table by its (composite) primary key."""
+    """Columns of a feature table by its (composite) primary key.
+
+    The table may be of any size: Spark broadcasts it by its own size figures, at planning
+    or, from measured shuffle output, at run time.
+    """
     if check and not duplicate_keys(features, keys).isEmpty():
         raise ValueError(f"feature table has several rows for one key of {keys}")
-    return lookup_join(requests, features, keys, "left")
+    return requests.join(features, keys, "left")
 
 
 def visit_practice_join(visits: DataFrame, practices: DataFrame) -> DataFrame:

@@ -18,6 +18,8 @@ BASE = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id"}
+
 # The view definitions of FIXTURES.md.
 VIEW_SQL = {
     "request_log": """
@@ -199,11 +201,21 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE:
-            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            return self._read(name)
         if name in VIEW_SQL:
             return self._view(name)
         raise AttributeError(name)
 
+    def _read(self, name: str) -> DataFrame:
+        """A base table. One of texts that is stored in fewer splits than there are cores,
+        as here in a single file, is spread by its key; a table of many splits is not."""
+        table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        key = TEXT_KEYS.get(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        if key and table.select(key).rdd.getNumPartitions() < cores:
+            return table.repartition(cores, key)
+        return table
+
     def _view(self, name: str) -> DataFrame:
         """Run a portable view over named inputs, without touching the catalog."""
         sql = VIEW_SQL[name].replace("{", "{{").replace("}", "}}")
@@ -280,8 +292,17 @@ class Tables:
     @cached_property
     def traced_requests(self) -> DataFrame:
         """The request log with its trace as JSON text; four chunks per trace."""
-        outputs = self.trace_chunks.groupBy("req_no").agg(
-            F.array_sort(F.collect_list(F.struct("position", "doc_uri", "content"))).alias("c")
+        # Four documents make a request's chunks; requests without any keep NULL.
+        outputs = self.documents.groupBy(F.expr("doc_id div 4").alias("req_no")).agg(
+            F.array_sort(
+                F.collect_list(
+                    F.struct(
+                        (F.col("doc_id") % 4).alias("position"),
+                        F.concat(F.lit("doc/"), "doc_id").alias("doc_uri"),
+                        F.col("text").alias("content"),
+                    )
+                )
+            ).alias("c")
         )
         span = F.struct(
             F.lit("RETRIEVER").alias("span_type"),
