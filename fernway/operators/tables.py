@@ -153,11 +153,11 @@ def more_than(df: DataFrame, key: str, n: int, when: Column) -> DataFrame:
     return df.where(when).groupBy(key).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > n)
 
 
-def attribute_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
-    """The one value of a key; ``ambiguous`` marks keys with several."""
-    return df.groupBy(key).agg(
-        F.min(value).alias(value), (F.min(value) != F.max(value)).alias("ambiguous")
-    )
+def attribute_per_key(df: DataFrame, key: str, values: list[str]) -> DataFrame:
+    """The one value of each attribute of a key; ``many_<name>`` marks keys with several."""
+    found = [F.min(v).alias(v) for v in values]
+    several = [(F.min(v) != F.max(v)).alias(f"many_{v}") for v in values]
+    return df.groupBy(key).agg(*found, *several)
 
 
 def latest_note(visits: DataFrame, key: str, note: str) -> DataFrame:
@@ -186,9 +186,12 @@ def latest_quote(quotes: DataFrame) -> DataFrame:
 
 
 def pct_drop(quotes: DataFrame, percent: float) -> DataFrame:
-    """Days on which the close fell by more than ``percent`` from the close before it."""
-    months = F.year("day") * 12 + F.month("day")
-    with_prev = neighbour_value(quotes, ["symbol"], "day", months, {"previous_close": "close"})
+    """Days on which the close fell by more than ``percent`` from the close before it.
+
+    A symbol has one row per day, so the calendar bounds what one task orders.
+    """
+    by_day = W.partitionBy("symbol").orderBy("day")
+    with_prev = quotes.withColumn("previous_close", F.lag("close").over(by_day))
     change = (F.col("close") - F.col("previous_close")) / F.col("previous_close") * 100
     return with_prev.select(
         "symbol", "day", "close", "previous_close", F.round(change, 6).alias("change_pct")

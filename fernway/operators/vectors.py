@@ -37,7 +37,9 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
+    """Cosine of two vectors; 0 where one is all zeros."""
+    scale = F.sqrt(dot(a, a) * dot(b, b))
+    return F.when(scale > 0, dot(a, b) / scale).otherwise(0.0)
 
 
 def vector_top_k(
@@ -66,7 +68,8 @@ def vector_top_k(
 
 def _unit(vectors: pd.Series) -> np.ndarray:
     matrix = np.vstack(vectors.to_numpy()).astype(np.float64)
-    return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+    length = np.linalg.norm(matrix, axis=1, keepdims=True)
+    return matrix / np.where(length > 0, length, 1.0)
 
 
 def choose_pivots(index: DataFrame, key: str, vector: str, n: int) -> np.ndarray:
@@ -193,7 +196,8 @@ def knn_join(
     Exact by default: each query first visits the cells nearest to it until they hold k rows,
     which bounds the angle of its k-th neighbour; it then visits every other cell that the
     triangle inequality does not rule out. With ``probes`` only that many nearest cells are
-    visited (approximate). Keys must be integers; vectors must not be zero.
+    visited (approximate). Keys must be integers. A zero vector
+    counts as being at a right angle to every other, which keeps all bounds valid.
     """
     spark = index.sparkSession
     centres = choose_pivots(index, key, vector, pivots)

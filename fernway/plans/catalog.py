@@ -278,7 +278,9 @@ def feedback_partition(t: Tables) -> DataFrame:
 
 @query
 def union_feedback(t: Tables) -> DataFrame:
-    return tagged(ev.union_feedback(rated_requests(t)))
+    # Three branches read the rated requests, so they are written once.
+    rated = st.write_table(rated_requests(t), new_work_path(t.spark, "rated"))
+    return tagged(ev.union_feedback(rated))
 
 
 @query
@@ -462,13 +464,7 @@ def missed_more_than(t: Tables) -> DataFrame:
 
 @query
 def attribute_per_key(t: Tables) -> DataFrame:
-    insurers = tb.attribute_per_key(t.visits, "patient", "insurer").withColumnRenamed(
-        "ambiguous", "many_insurers"
-    )
-    cities = tb.attribute_per_key(t.visits, "patient", "city").withColumnRenamed(
-        "ambiguous", "many_cities"
-    )
-    return insurers.join(cities, "patient")
+    return tb.attribute_per_key(t.visits, "patient", ["insurer", "city"])
 
 
 @query

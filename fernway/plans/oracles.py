@@ -335,8 +335,8 @@ WHERE visit_date > DATE '1997-06-30' AND visit_date <= DATE '{AS_OF}' AND status
 GROUP BY 1 HAVING count(*) > 2""", "visits")
 
 add("attribute_per_key", """
-SELECT patient, min(insurer) AS insurer, count(DISTINCT insurer) > 1 AS many_insurers,
-       min(city) AS city, count(DISTINCT city) > 1 AS many_cities
+SELECT patient, min(insurer) AS insurer, count(DISTINCT insurer) > 1 AS many_insurer,
+       min(city) AS city, count(DISTINCT city) > 1 AS many_city
 FROM visits GROUP BY 1""", "visits")
 
 add("latest_note", """
