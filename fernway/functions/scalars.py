@@ -79,7 +79,7 @@ def kept_context(chunks: Column, ratings: Column) -> Column:
 def trace_context(trace_json: Column) -> Column:
     """Chunks returned by the last retriever span of a trace, in order."""
     spans = F.from_json(trace_json, TRACE_TYPE)["spans"]
-    last = F.element_at(F.filter(spans, lambda s: s["span_type"] == "RETRIEVER"), -1)
+    last = F.try_element_at(F.filter(spans, lambda s: s["span_type"] == "RETRIEVER"), F.lit(-1))
     return F.transform(
         last["outputs"],
         lambda o: F.struct(

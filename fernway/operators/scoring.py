@@ -241,7 +241,7 @@ def tool_calls(trajectory: Column) -> Column:
         F.transform(
             F.map_entries(named),
             lambda e: F.struct(
-                F.regexp_extract(e["key"], r"([0-9]+)$", 1).cast("int").alias("step"),
+                F.regexp_extract(e["key"], r"([0-9]+)$", 1).try_cast("int").alias("step"),
                 e["value"].alias("tool"),
             ),
         )

@@ -281,7 +281,7 @@ def ann_top_k(
     key: str,
     vector: str,
     k: int,
-    probes: int = 8,
+    probes: int = 24,
     pivots: int = 64,
 ) -> DataFrame:
     """Approximate ``knn_join``: only the ``probes`` cells nearest to each query are read."""
