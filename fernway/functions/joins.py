@@ -15,7 +15,7 @@ def fits_broadcast(
 ) -> bool:
     """Measure whether ``df`` is within a row and a byte limit.
 
-    At most ``max_rows + 1`` rows are read, and one row of totals reaches the driver.
+    Rows are counted and sized where they are; one row of totals reaches the driver.
     """
     widths = [
         F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
@@ -26,9 +26,7 @@ def fits_broadcast(
         for f in df.schema.fields
     ]
     width = reduce(lambda a, b: a + b, widths)
-    rows, size = (
-        df.limit(max_rows + 1).select(width.alias("w")).agg(F.count("*"), F.sum("w")).first()
-    )
+    rows, size = df.select(width.alias("w")).agg(F.count("*"), F.sum("w")).first()
     return rows <= max_rows and (size or 0) <= max_bytes
 
 

@@ -29,13 +29,19 @@ def neighbour_value(
     inside = W.partitionBy(*keys, "_span").orderBy(F.col(order))
     step = F.lead if following else F.lag
     edge = F.min_by if following else F.max_by
-    edges = ranged.groupBy(*keys, "_span").agg(
-        edge(F.struct(*values.values()), order).alias("_edge"),
-    )
+    value = F.struct(*values.values())
+    # Which range lies next to which: two numbers per range are all that one task sorts.
     across = W.partitionBy(*keys).orderBy("_span")
-    edges = edges.select(*keys, "_span", step("_edge").over(across).alias("_outer"))
-    inner = ranged.withColumn("_inner", step(F.struct(*values.values())).over(inside))
-    joined = inner.join(edges, [*keys, "_span"], "left")
+    links = ranged.select(*keys, "_span").distinct().withColumn(
+        "_near", step("_span").over(across)
+    )
+    edges = ranged.groupBy(*keys, F.col("_span").alias("_near")).agg(
+        edge(value, order).alias("_outer")
+    )
+    outer = links.join(edges, [*keys, "_near"]).drop("_near")
+    joined = ranged.withColumn("_inner", step(value).over(inside)).join(
+        outer, [*keys, "_span"], "left"
+    )
     source = F.coalesce("_inner", "_outer")
     for new, old in values.items():
         joined = joined.withColumn(new, source[old])
@@ -48,7 +54,7 @@ def dense_number(
     """Number all rows 0, 1, 2, … by ``order`` without a single-task sort.
 
     ``levels`` are ever finer monotone groupings of the order columns, for example
-    ``[conv_id div 1000, conv_id, turn div 64]``. Group sizes are counted with
+    ``[conv_id div 1000, conv_id, turn div 4096]``. Group sizes are counted with
     map-side partial sums, offsets are running sums per parent level, and a row's number is
     its group's offset plus its rank in the group. The first level must have few
     distinct values, since its totals are summed in one task.

@@ -1,7 +1,8 @@
 """An embedding table kept in sync with its source.
 
-Layout below ``root``: ``rows/v=<n>`` holds the rows that sync n inserted, changed or
-deleted, and ``commits/v=<n>`` one row once that is complete. A sync writes new folders only,
+Layout below ``root``: ``changes/v=<n>`` lists the keys that sync n found changed,
+``rows/v=<n>`` holds their new rows, or marks them deleted, and ``commits/v=<n>`` holds one
+row once that is complete. A sync writes new folders only,
 so readers and failed runs do not disturb each other; a sync that failed is simply run
 again. Reading keeps each key's newest committed row.
 """
@@ -99,7 +100,15 @@ def index_sync(
             (~F.equal_null("hash", "old_hash")).alias("differs"),
         )
         .where("differs")
+        .select("id", "gone")
     )
+    # Used three times below, so the comparison is written once.
+    diff = f"{root}/changes/v={fresh}"
+    changes.write.mode("overwrite").parquet(diff)
+    changes = spark.read.schema("id " + rows.schema["id"].dataType.simpleString() + ", gone boolean")
+    changes = changes.parquet(diff)
+    if changes.isEmpty():
+        return version
     changed = rows.join(changes.where("NOT gone").select("id"), "id", "left_semi")
     upserts = embed(changed).withColumn("deleted", F.lit(False)).select(*layout)
     removed = changes.where("gone").select("id")
@@ -107,9 +116,6 @@ def index_sync(
         value = F.lit(True) if field.name == "deleted" else F.lit(None).cast(field.dataType)
         removed = removed.withColumn(field.name, value)
     upserts.unionByName(removed).write.mode("overwrite").parquet(target)
-    written = spark.read.parquet(target)
-    if written.isEmpty():
-        return version
     _commit(spark, root, fresh, full=False)
     return fresh
 

@@ -247,7 +247,8 @@ def conversation_history(turns: DataFrame, page_turns: int = 64) -> tuple[DataFr
     """
     page = F.expr(f"turn div {int(page_turns)}")
     entry = F.struct("turn", "role", "text")
-    last = neighbour_value(turns, ["conv_id"], "turn", page, {"last_message": "text"})
+    ranges = F.expr("turn div 4096")
+    last = neighbour_value(turns, ["conv_id"], "turn", ranges, {"last_message": "text"})
     inside = (
         W.partitionBy("conv_id", "page").orderBy("turn").rowsBetween(W.unboundedPreceding, -1)
     )

@@ -844,8 +844,10 @@ def parse_typed_output(t: Tables) -> DataFrame:
 @query
 def text_classifier(t: Tables) -> DataFrame:
     rows = t.documents.select("doc_id", "text").join(labelled(t), "doc_id")
-    split = sa.train_test_split(rows, "label", "doc_id", 40, 40)
-    model = pr.train_classifier(split.where("split = 'train'"), "text", "label")
+    # Ids are sampled before their texts are fetched.
+    split = sa.train_test_split(labelled(t), "label", "doc_id", 40, 40).where("split = 'train'")
+    train = split.join(t.documents.select("doc_id", "text"), "doc_id")
+    model = pr.train_classifier(train, "text", "label")
     return pr.classify(model, rows).select("doc_id", "label", "prediction")
 
 

@@ -234,7 +234,7 @@ class Tables:
             self.conversations,
             ["conv_id"],
             "turn",
-            F.expr("turn div 64"),
+            F.expr("turn div 4096"),
             {"next_role": "role", "response": "text"},
             following=True,
         )
@@ -248,7 +248,7 @@ class Tables:
         # The log is a stored table wherever it is real; here its rows are written once, so
         # that numbering them does not repeat the work above for every level.
         asked = write_table(asked, new_work_path(self.spark, "request-log"))
-        levels = ["conv_id div 1000000", "conv_id div 1000", "conv_id", "turn div 64"]
+        levels = ["conv_id div 1000000", "conv_id div 1000", "conv_id", "turn div 4096"]
         numbered = dense_number(
             asked, ["conv_id", "turn"], [F.expr(e) for e in levels], "req_no"
         )

@@ -17,6 +17,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot join key is split even where the split costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows hold whole documents, so Python functions get them in small batches.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 

@@ -83,3 +83,13 @@ def test_monitor_stream_equals_batch_over_several_runs(spark):
     want = windowed_quality(events.withColumn("ts", F.col("ts").cast("timestamp")))
     assert got.select(want.columns).exceptAll(want).isEmpty()
     assert got.count() == want.count() > 1
+
+
+def test_latest_file_of_a_batch_wins(spark):
+    root, inbox = new_work_path(spark, "stream"), new_work_path(spark, "inbox")
+    embed, _ = embedder(spark)
+    for body in ("old", "newer!"):
+        df = spark.createDataFrame([(1, body), (2, "same")], SCHEMA)
+        df.coalesce(1).write.mode("append").parquet(inbox)
+    stream_index_sync(spark, inbox, df.schema, root, "doc", "body", embed)
+    assert content(spark, root) == {1: ("newer!", 6.0), 2: ("same", 4.0)}
