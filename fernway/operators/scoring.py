@@ -31,7 +31,7 @@ CONFIDENCE = {
 GRADES = {"High": 100.0, "Medium": 50.0, "Low": 0.0}
 TOOL_WEIGHT, FORMAT_WEIGHT = 0.65, 0.35
 MAX_SECONDS = 5.0
-ROUTES = ["text_processing_agent", "patient_lookup_genie_agent", "final_agent"]
+ROUTES = ["text_processing_agent", "patient_lookup_agent", "final_agent"]
 STOP_WORDS = {
     "de": ["der", "die", "das", "und", "ist", "nicht", "mit", "von", "den", "ein"],
     "en": ["the", "and", "of", "to", "in", "that", "is", "it", "for", "was"],

@@ -38,7 +38,7 @@ LABEL_ALIASES = {"home loan": "Mortgage Loan", "mortgage": "Mortgage Loan", "car
 PRICES = {"small": (0.05, 0.2), "large": (3.0, 15.0)}
 ROUTE_OF = {
     "view": "text_processing_agent",
-    "click": "patient_lookup_genie_agent",
+    "click": "patient_lookup_agent",
     "purchase": "final_agent",
 }
 

@@ -671,7 +671,7 @@ FROM s""", "request_log")
 
 add("next_step_route", """
 SELECT event_id, CASE event_type WHEN 'view' THEN 'text_processing_agent'
-       WHEN 'click' THEN 'patient_lookup_genie_agent' ELSE 'final_agent' END AS route, true AS valid
+       WHEN 'click' THEN 'patient_lookup_agent' ELSE 'final_agent' END AS route, true AS valid
 FROM events""")
 
 # Evaluation sets
@@ -736,3 +736,24 @@ SELECT strftime(date_trunc('day', ts), {SECONDS}) AS window_start, event_type, c
        CAST(sum(floor(value * 100)) AS BIGINT) AS value_cents,
        count(*) FILTER (value > 5) AS n_slow
 FROM events GROUP BY 1, 2""")
+
+# Spark counts ranks, array lengths and hits in 32 bits; the SQL says so for equal types.
+INTEGERS = {
+    "note_severity": "severity",
+    "stratified_sample": "sample_rank",
+    "train_test_split": "sample_rank",
+    "rank_variants": "rank",
+    "word_count": "n_words",
+    "decode_base64": "n_bytes",
+    "extract_keywords": "rank",
+    "vector_top_k": "rank",
+    "filtered_top_k": "rank",
+    "knn_join": "rank",
+    "top_k_per_query": "rank",
+    "score_length": "value",
+    "eval_from_traces": "n_chunks",
+}
+for _name, _column in INTEGERS.items():
+    SQL[_name] = (
+        f"SELECT * REPLACE (CAST({_column} AS INTEGER) AS {_column}) FROM ({SQL[_name]})"
+    )
