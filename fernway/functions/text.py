@@ -39,9 +39,11 @@ def literal_map(pairs: dict) -> Column:
 
 def weighted_hits(text: Column, weights: dict[str, int]) -> Column:
     """Sum of the weights of all listed terms in the text; no shuffle."""
-    table = literal_map(weights)
+    table, listed = literal_map(weights), list(weights)
     return F.aggregate(
-        terms(text), F.lit(0), lambda acc, t: acc + F.coalesce(table[t], F.lit(0))
+        F.filter(terms(text), lambda t: t.isin(listed)),
+        F.lit(0),
+        lambda acc, t: acc + table[t],
     )
 
 

@@ -45,10 +45,11 @@ def note_severity(
 ) -> DataFrame:
     """The ``k`` notes with the greatest weight of listed terms in their whole text.
 
-    The weights are a constant of the plan, so scoring needs no join and no shuffle.
+    The weights are a constant of the plan, so scoring needs no join and no shuffle. The
+    filter follows the limit, which is equal and scores each text once.
     """
     scored = notes.select(key, weighted_hits(F.col(text), weights).alias("severity"))
-    return scored.where("severity > 0").orderBy(F.desc("severity"), key).limit(k)
+    return scored.orderBy(F.desc("severity"), key).limit(k).where("severity > 0")
 
 
 def visits_within(visits: DataFrame, as_of: str, days: int) -> DataFrame:

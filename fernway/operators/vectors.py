@@ -15,10 +15,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..functions.text import terms
+from ..session import new_work_path
+
 DIGITS = 6
 SLICE_ROWS = 20_000
 QUERY_ROWS = 4_096
@@ -260,8 +263,6 @@ def knn_join(
         return _ranked(hits, k)
     # The first pass feeds both the bound and the result; a written table computes it once
     # and survives the loss of executors.
-    from ..session import new_work_path
-
     path = new_work_path(spark, "knn-first-pass")
     hits.write.parquet(path)
     hits = spark.read.schema(SCHEMA).parquet(path)
@@ -310,21 +311,26 @@ def retrieve_context(
     )
 
 
+def _with_words(docs: DataFrame, text: str) -> DataFrame:
+    return docs.withColumn("_words", F.coalesce(terms(F.col(text)), F.array().cast("array<string>")))
+
+
 def fit_embedder(docs: DataFrame, text: str, width: int = 256) -> PipelineModel:
     """Hashed words weighted by inverse document frequency, scaled to length 1."""
     return Pipeline(
         stages=[
-            RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"[^\p{L}\p{N}]+"),
             HashingTF(inputCol="_words", outputCol="_tf", numFeatures=width),
             IDF(inputCol="_tf", outputCol="_tfidf"),
             Normalizer(inputCol="_tfidf", outputCol="_unit"),
         ]
-    ).fit(docs)
+    ).fit(_with_words(docs, text).select("_words"))
 
 
-def embed_text(model: PipelineModel, docs: DataFrame, output: str = "embedding") -> DataFrame:
-    """Add the embedding as ``array<float>``. Texts without a known word give zeros."""
-    out = model.transform(docs)
+def embed_text(
+    model: PipelineModel, docs: DataFrame, text: str = "text", output: str = "embedding"
+) -> DataFrame:
+    """Add the embedding as ``array<float>``. Texts without a word give zeros."""
+    out = model.transform(_with_words(docs, text))
     return out.withColumn(output, vector_to_array("_unit", "float32")).drop(
         "_words", "_tf", "_tfidf", "_unit"
     )

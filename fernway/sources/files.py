@@ -35,26 +35,14 @@ def path_fields(files: DataFrame) -> DataFrame:
 
 
 def _header(text: Column) -> Column:
-    """Map of the ``Key: value`` lines above the first rule line."""
-    head = F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), "\n---", 2)[0]
-    pairs = F.filter(
-        F.transform(
-            F.split(head, "\n"),
-            lambda line: F.struct(
-                F.trim(F.regexp_extract(line, r"^([^:]+):", 1)).alias("k"),
-                F.trim(F.regexp_extract(line, r"^[^:]+:(.*)$", 1)).alias("v"),
-            ),
-        ),
-        lambda p: p["k"] != "",
-    )
-    # The first of two equal keys wins, so a malformed header cannot fail the job.
-    return F.aggregate(
-        pairs,
-        F.create_map().cast("map<string,string>"),
-        lambda m, p: F.when(F.map_contains_key(m, p["k"]), m).otherwise(
-            F.map_concat(m, F.create_map(p["k"], p["v"]))
-        ),
-    )
+    """The lines above the first rule line."""
+    return F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), "\n---", 2)[0]
+
+
+def _field(name: str) -> Column:
+    """Value of the first ``name: value`` line of the header; NULL if it is missing or blank."""
+    found = F.regexp_extract("_head", rf"(?m)^{name}:[ \t]*(.*?)[ \t]*$", 1)
+    return F.nullif(found, F.lit(""))
 
 
 def _body(text: Column) -> Column:
@@ -64,44 +52,39 @@ def _body(text: Column) -> Column:
 
 def parse_article(files: DataFrame) -> DataFrame:
     """Help article: eight header fields and the markdown body."""
-    h = F.col("_h")
-    return (
-        files.withColumn("_h", _header(F.col("text")))
-        .select(
-            "path",
-            h["ID"].alias("id"),
-            h["Type"].alias("type"),
-            h["Category"].alias("category"),
-            h["Subcategory"].alias("subcategory"),
-            h["Title"].alias("title"),
-            F.transform(F.split(h["Tags"], ","), lambda tag: F.trim(tag)).alias("tags"),
-            F.try_to_timestamp(h["Last Updated"]).alias("last_updated"),
-            F.try_to_timestamp(h["Generated"]).alias("generated"),
-            _body(F.col("text")).alias("body"),
-        )
+    return files.withColumn("_head", _header(F.col("text"))).select(
+        "path",
+        _field("ID").alias("id"),
+        _field("Type").alias("type"),
+        _field("Category").alias("category"),
+        _field("Subcategory").alias("subcategory"),
+        _field("Title").alias("title"),
+        F.transform(F.split(_field("Tags"), ","), lambda tag: F.trim(tag)).alias("tags"),
+        F.try_to_timestamp(_field("Last Updated")).alias("last_updated"),
+        F.try_to_timestamp(_field("Generated")).alias("generated"),
+        _body(F.col("text")).alias("body"),
     )
 
 
 def parse_ticket(files: DataFrame) -> DataFrame:
     """Support ticket: nine header fields, description and resolution."""
-    h = F.col("_h")
 
     def section(name: str, until: str):
         pattern = rf"(?s)\n---\s*\n{name}:\s*\n---\s*\n(.*?){until}"
         found = F.regexp_extract(F.replace(F.col("text"), F.lit("\r\n"), F.lit("\n")), pattern, 1)
         return F.nullif(F.trim(found, F.lit("\n ")), F.lit(""))
 
-    return files.withColumn("_h", _header(F.col("text"))).select(
+    return files.withColumn("_head", _header(F.col("text"))).select(
         "path",
-        h["Ticket ID"].alias("ticket_id"),
-        h["Customer ID"].alias("customer_id"),
-        h["Subscription ID"].alias("subscription_id"),
-        h["Category"].alias("category"),
-        h["Priority"].alias("priority"),
-        h["Status"].alias("status"),
-        F.try_to_timestamp(h["Created"]).alias("created"),
-        h["Agent ID"].alias("agent_id"),
-        F.try_to_timestamp(h["Resolved"]).alias("resolved"),
+        _field("Ticket ID").alias("ticket_id"),
+        _field("Customer ID").alias("customer_id"),
+        _field("Subscription ID").alias("subscription_id"),
+        _field("Category").alias("category"),
+        _field("Priority").alias("priority"),
+        _field("Status").alias("status"),
+        F.try_to_timestamp(_field("Created")).alias("created"),
+        _field("Agent ID").alias("agent_id"),
+        F.try_to_timestamp(_field("Resolved")).alias("resolved"),
         section("DESCRIPTION", r"(?:\n---\s*\nRESOLUTION:|$)").alias("description"),
         section("RESOLUTION", r"$").alias("resolution"),
     )

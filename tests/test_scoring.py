@@ -182,3 +182,14 @@ def test_history_crosses_pages(spark):
     assert {r.page: [t.text for t in r.turns] for r in pages.collect()} == {
         0: ["m0", "m1", "m2"], 1: ["m5"], 3: ["m9"],
     }
+
+
+def test_rules_agree_with_the_labels_they_stand_for(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    flagged = docs.join(labels, "doc_id").select("toxic", sc.score_safety(F.col("text")).alias("s"))
+    counts = {(r.toxic, r.s): r["count"] for r in flagged.groupBy("toxic", "s").count().collect()}
+    toxic = counts.get((1, "no"), 0) + counts.get((1, "yes"), 0)
+    assert counts.get((1, "no"), 0) / toxic >= 0.9
+    guess = docs.select("lang", sc.score_language(F.col("text"))["language"].alias("g"))
+    assert guess.where("lang = g").count() / guess.count() >= 0.9
