@@ -38,7 +38,18 @@ STOP_WORDS = {
     "es": ["el", "los", "las", "y", "que", "en", "por", "con", "una", "no"],
     "fr": ["le", "les", "et", "est", "des", "une", "du", "dans", "pour", "qui"],
 }
-UNSAFE_TERMS = ["idiot", "moron", "scum", "trash", "pathetic", "worthless", "disgusting", "loser"]
+UNSAFE_TERMS = [
+    "idiot",
+    "moron",
+    "scum",
+    "trash",
+    "pathetic",
+    "worthless",
+    "disgusting",
+    "loser",
+    "clown",
+    "stupid",
+]
 
 Scorer = Callable[[], Column]
 SCORERS: dict[str, Scorer] = {}
