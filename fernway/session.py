@@ -37,10 +37,16 @@ def local_session(app: str = "fernway", cpus: str = "8", **settings: str) -> Spa
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings to a session somebody else built, and send it this
-    package, so that Python functions find it on every executor."""
+    """Give a session somebody else built the SQL settings that it doesn't state itself, and
+    send it this package. Meant to be called once, where the session enters."""
     for key, value in SQL_SETTINGS.items():
-        spark.conf.set(key, value)
+        if not spark.sparkContext.getConf().contains(key):
+            spark.conf.set(key, value)
+    return ship_package(spark)
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors once, so that Python functions find it there."""
     context = spark.sparkContext
     if not any(f.endswith("/fernway.zip") for f in context.listFiles):
         package = os.path.dirname(os.path.abspath(__file__))
