@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, lines, mixing, pieces
+from . import langid, lines, mixing, near, pieces
 from .common import begin, sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,17 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near.near_components(docs, percent=75).select(
+        "doc_id",
+        F.col("n_shingles").cast("long").alias("n_shingles"),
+        "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
+
+
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
