@@ -23,3 +23,49 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), ''))
            AS kept_sha256
 FROM marked GROUP BY doc_id"""
+
+SQL["op4_url_filter"] = r"""
+WITH captures AS (
+    SELECT page_id, 19723 + ('0x' || left(md5(CAST(page_id AS VARCHAR)), 7))::INT % 366 AS fetch_day,
+           regexp_replace(regexp_extract(lower(coalesce(url, '')),
+               '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1), '\.+$', '') AS host
+    FROM pages),
+split AS (SELECT DISTINCT host, string_split(host, '.') AS labels FROM captures),
+ups AS (
+    SELECT host, array_to_string(labels[i:], '.') AS pattern
+    FROM split, LATERAL (SELECT unnest(range(1, greatest(len(labels), 2))) AS i)),
+hashed AS (
+    SELECT pattern, ('0x' || left(md5(pattern), 7))::INT AS v
+    FROM (SELECT DISTINCT pattern FROM ups WHERE pattern <> '')),
+entries AS (
+    SELECT pattern, 19723 + (v // 16) % 300 AS day, 'add' AS action FROM hashed WHERE v % 5 = 0
+    UNION ALL
+    SELECT pattern, 19723 + (v // 16) % 300 + 20 + v % 50, 'remove' FROM hashed WHERE v % 10 = 0
+    UNION ALL
+    SELECT pattern, 19723 + (v // 16) % 300 + 100, 'add' FROM hashed WHERE v % 20 = 0),
+latest AS (
+    SELECT c.page_id, c.host, c.fetch_day, e.pattern, e.day, e.action,
+           row_number() OVER (PARTITION BY c.page_id, e.pattern ORDER BY e.day DESC,
+                              e.action DESC) AS rn
+    FROM captures c JOIN ups u ON u.host = c.host
+    JOIN entries e ON e.pattern = u.pattern AND e.day <= c.fetch_day),
+best AS (
+    SELECT page_id, pattern, day,
+           row_number() OVER (PARTITION BY page_id ORDER BY length(pattern) DESC) AS rn
+    FROM latest WHERE rn = 1 AND action = 'add')
+SELECT c.page_id, c.host, c.fetch_day, b.pattern IS NOT NULL AS listed, b.pattern AS matched,
+       b.day AS since
+FROM captures c LEFT JOIN best b ON b.page_id = c.page_id AND b.rn = 1"""
+
+SQL["op6_warc"] = """
+WITH sized AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+           sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (
+    SELECT *, CASE WHEN payload_bytes >= 100
+                   THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first_id
+    FROM sized)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM firsts"""

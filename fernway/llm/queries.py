@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, lines, mixing, near, pieces
+from . import langid, lines, mixing, near, pieces, quality, urls, warc, winnow
 from .common import begin, sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,55 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def list_entries(captures: DataFrame) -> DataFrame:
+    """Dated entries of a block list, made from the hosts of the captures and the domains above
+    them: a hash of the name says whether and when it is added, removed and added again."""
+    names = (
+        captures.select(F.explode(urls.parents(urls.host_of(F.col("url")))).alias("pattern"))
+        .where("pattern <> ''")
+        .distinct()
+    )
+    v = F.conv(F.left(F.md5("pattern"), F.lit(7)), 16, 10).cast("int")
+    first = F.lit(19723) + F.floor(v / 16) % 300  # from 2024-01-01 on
+    dated = {
+        "add": (v % 5 == 0, first),
+        "remove": (v % 10 == 0, first + 20 + v % 50),
+        "again": (v % 20 == 0, first + 100),
+    }
+    rows = [
+        F.when(on, F.struct(day.cast("int").alias("day"), F.lit(a.replace("again", "add")).alias("action")))
+        for a, (on, day) in dated.items()
+    ]
+    return names.select("pattern", F.inline(F.filter(F.array(*rows), lambda e: e.isNotNull())))
+
+
+@query
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.lit(19723) + F.conv(F.left(F.md5(F.col("page_id").cast("string")), F.lit(7)), 16, 10).cast("int") % 366
+    captures = table(spark, sf_dir, "pages").select("page_id", "url", day.alias("fetch_day"))
+    found = urls.filter_urls(captures, list_entries(captures))
+    return found.select("doc.page_id", "host", "doc.fetch_day", "listed", "matched", "since")
+
+
+@query
+def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return winnow.fingerprint_edits(docs).select(
+        "doc_id",
+        "n_chars",
+        sha256(F.col("edited")).alias("edited_sha256"),
+        winnow.shown(F.col("chosen")).alias("fingerprint"),
+        winnow.shown(F.col("edited_chosen")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -72,6 +121,22 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.judge_quality(docs).select(
+        "doc.doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "quality",
+    )
+
+
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
