@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..functions.joins import lookup_join
+from ..functions.joins import fits_broadcast, lookup_join
 from .common import begin, packed, saved
 
 WORDS = 5
@@ -190,7 +190,8 @@ def near_components(
         bands.groupBy("band").agg(F.count("*").alias("members")).where("members > 1"),
         "near-buckets",
     )
-    members = saved(lookup_join(bands, buckets, ["band"], "inner"), "near-members")
+    # Joined alike at every size, so the work grows in proportion.
+    members = saved(bands.join(buckets.hint("merge"), "band"), "near-members")
     # The class that meets most others is the likeliest to be what they were copied from.
     degree = saved(members.groupBy("cls").agg(F.sum("members").alias("degree")), "near-degree")
     centre = F.max_by("cls", F.col("degree")).alias("centre")
@@ -328,7 +329,9 @@ def full_sets(needed: DataFrame, classes: DataFrame, source: DataFrame) -> DataF
         F.col("doc_id").alias("_id"), F.col("key").alias("_k"), "cls"
     )
     match = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_k"))
-    texts = source.join(saved(rows, "near-needed"), match)
+    rows = saved(rows, "near-needed")
+    # Texts stay where they are while the asked classes are measured to be few.
+    texts = source.join(F.broadcast(rows) if fits_broadcast(rows) else rows, match)
     return saved(
         texts.select("cls", F.pandas_udf(_set, "array<long>")("text").alias("set")), "near-sets"
     )

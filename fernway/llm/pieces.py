@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from functools import cache
-from hashlib import sha256
 
 import numpy as np
 import pandas as pd
@@ -218,6 +217,3 @@ def encode_pieces(docs: DataFrame, model_path: str, text: str = "text") -> DataF
         .select("doc", "_got.ids", "_got.decoded")
     )
 
-
-def id_digest(ids: bytes) -> str:
-    return sha256(ids).hexdigest()

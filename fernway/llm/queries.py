@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, lines, mixing, near, pieces, quality, urls, warc, winnow
+from . import langid, lines, mixing, near, pieces, quality, suffix, urls, warc, winnow
 from .common import begin, sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,18 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.remove_repeats(docs, length=400).select(
+        "doc.doc_id",
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        suffix.digest(F.col("kept")).alias("kept_sha256"),
+    )
+
+
 def list_entries(captures: DataFrame) -> DataFrame:
     """Dated entries of a block list, made from the hosts of the captures and the domains above
     them: a hash of the name says whether and when it is added, removed and added again."""

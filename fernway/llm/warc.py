@@ -167,12 +167,12 @@ def reachable(records: DataFrame) -> DataFrame:
     """
     jumps = saved(records.select("path", "offset", "next"), "warc-jumps")
     reached = saved(jumps.where("offset = 0").select("path", "offset"), "warc-reached")
+    known = records.select("path", "offset")
     n = reached.count()
     while n:
         onward = jumps.join(reached, ["path", "offset"], "left_semi").select(
             "path", F.col("next").alias("offset")
         )
-        known = jumps.select("path", "offset")
         reached = saved(
             reached.union(onward.join(known, ["path", "offset"], "left_semi")).distinct(),
             "warc-reached",
