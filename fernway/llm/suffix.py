@@ -83,15 +83,21 @@ def runs_of(data: np.ndarray, length: int):
 def suffix_order(text: np.ndarray) -> np.ndarray:
     """Sorted suffixes of a text of numbers whose ends are all different, by prefix doubling."""
     n = len(text)
-    order = np.argsort(text, kind="stable")
+    # As many first letters as fit one number are sorted at once.
+    bits = int(text.max()).bit_length() + 1
+    step = max(1, 62 // bits)
+    key = np.zeros(n, np.int64)
+    for j in range(step):
+        key <<= bits
+        key[: n - j] |= text[j:] + 1
+    order = np.argsort(key)
     rank = np.empty(n, np.int64)
-    rank[order] = np.cumsum(np.append(0, text[order[1:]] != text[order[:-1]]))
-    step = 1
+    rank[order] = np.cumsum(np.append(0, key[order[1:]] != key[order[:-1]]))
     while rank[order[-1]] < n - 1:
         after = np.zeros(n, np.int64)
-        after[:-step] = rank[step:] + 1
+        after[: n - step] = rank[step:] + 1
         key = rank * (n + 1) + after
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         rank[order] = np.cumsum(np.append(0, key[order[1:]] != key[order[:-1]]))
         step *= 2
     return order
@@ -116,7 +122,8 @@ def common_prefixes(order: np.ndarray, text: np.ndarray, n_ends: int, length: in
     before = text[order - 1]  # the transform; ends are letters of their own, below n_ends
     # Where the suffix one letter longer stands.
     jump = np.empty(n, np.int64)
-    jump[np.argsort(before, kind="stable")] = np.arange(n)
+    small = before.astype(np.uint16) if before.max() < 1 << 16 else before
+    jump[np.argsort(small, kind="stable")] = np.arange(n)
     border = np.zeros(n + 1, bool)
     border[[0, n]] = True
     first = text[order]
