@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from ..session import stored
 from ..functions.text import codes, email_addresses, terms
 
 
@@ -11,12 +12,13 @@ def extract_keywords(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     """The ``n`` terms of each document with the highest tf·idf, rounded to 6 places.
 
     Map tasks count terms before the exchange, so one row per document and distinct term
-    moves on, not one per token. A common word may be in most documents: the join to its
-    frequency is one that adaptive execution broadcasts or splits.
+    moves on, not one per token. The counts are stored, so texts are read once. A common word may
+    be in most documents: both sides of its join come from stored tables, and only then does
+    adaptive execution split a skewed partition.
     """
     tokens = docs.select(key, F.explode(terms(F.col(text))).alias("term"))
-    counted = tokens.groupBy(key, "term").agg(F.count("*").alias("tf"))
-    frequency = counted.groupBy("term").agg(F.count("*").alias("df"))
+    counted = stored(tokens.groupBy(key, "term").agg(F.count("*").alias("tf")), "term-counts")
+    frequency = stored(counted.groupBy("term").agg(F.count("*").alias("df")), "term-documents")
     total = docs.where(F.col(text).isNotNull()).count()
     joined = counted.join(frequency, "term")
     weight = F.round(F.col("tf") * F.log(F.lit(total + 1.0) / (F.col("df") + 1.0)), 6)

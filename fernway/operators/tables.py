@@ -146,7 +146,10 @@ def visits_per_patient(visits: DataFrame) -> DataFrame:
 
 def mode_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
     """Most frequent value per key; the lowest value on a tie."""
-    return df.groupBy(key).agg(F.mode(value, True).alias(value))
+    counts = df.groupBy(key, value).agg(F.count(value).alias("_n"))
+    best = W.partitionBy(key).orderBy(F.desc("_n"), F.asc_nulls_last(value))
+    ranked = counts.withColumn("_rank", F.row_number().over(best))
+    return ranked.where("_rank = 1").select(key, value)
 
 
 def more_than(df: DataFrame, key: str, n: int, when: Column) -> DataFrame:
@@ -253,8 +256,28 @@ def conversation_history(turns: DataFrame, page_turns: int = 64) -> tuple[DataFr
     inside = (
         W.partitionBy("conv_id", "page").orderBy("turn").rowsBetween(W.unboundedPreceding, -1)
     )
-    own = last.withColumn("page", page).withColumn("history", F.collect_list(entry).over(inside))
+    own = last.withColumn("page", page).withColumn(
+        "page_history", F.collect_list(entry).over(inside)
+    )
     pages = turns.groupBy("conv_id", page.alias("page")).agg(
         F.array_sort(F.collect_list(entry)).alias("turns")
     )
-    return own.select("conv_id", "turn", "page", "history", "last_message"), pages
+    return own.select("conv_id", "turn", "page", "page_history", "last_message"), pages
+
+
+def full_history(asked: DataFrame, turns: DataFrame, page_turns: int = 64) -> DataFrame:
+    """All earlier turns of each asked ``conv_id, turn``, of all pages, oldest first.
+
+    Only the asked turns get their whole history, since that of every turn grows with the square
+    of a conversation.
+    """
+    own, pages = conversation_history(turns, page_turns)
+    wanted = own.join(asked.select("conv_id", "turn").distinct(), ["conv_id", "turn"])
+    earlier = wanted.select("conv_id", "turn", F.col("page").alias("_page")).join(pages, "conv_id")
+    before = earlier.where("page < _page").groupBy("conv_id", "turn").agg(
+        F.flatten(F.array_sort(F.collect_list(F.struct("page", "turns")))["turns"]).alias("_before")
+    )
+    none = F.expr("filter(page_history, h -> false)")
+    return wanted.join(before, ["conv_id", "turn"], "left").select(
+        "conv_id", "turn", F.concat(F.coalesce("_before", none), "page_history").alias("history")
+    )

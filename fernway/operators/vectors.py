@@ -76,8 +76,10 @@ def _unit(vectors: pd.Series) -> np.ndarray:
 
 
 def choose_pivots(index: DataFrame, key: str, vector: str, n: int) -> np.ndarray:
-    """``n`` index vectors picked by hash of the key; at most ``MAX_PIVOTS`` are collected."""
-    n = max(1, min(n, MAX_PIVOTS))
+    """``n`` index vectors picked by hash of the key, collected; more than ``MAX_PIVOTS`` are
+    refused."""
+    if not 1 <= n <= MAX_PIVOTS:
+        raise ValueError(f"pivots must be 1 to {MAX_PIVOTS}")
     rows = index.select(F.xxhash64(key).alias("h"), vector).orderBy("h", F.col(vector)).limit(n)
     return _unit(pd.Series([r[1] for r in rows.collect()]))
 

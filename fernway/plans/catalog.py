@@ -79,7 +79,7 @@ def flat_rated(df: DataFrame) -> DataFrame:
 def read_text_files(t: Tables) -> DataFrame:
     path = new_work_path(t.spark, "text-files")
     lines = t.documents.select(F.translate("text", "\r\n", "  ").alias("value"), "lang", "source")
-    lines.write.option("maxRecordsPerFile", 100_000).partitionBy("lang", "source").text(path)
+    lines.write.option("maxRecordsPerFile", 1_000).partitionBy("lang", "source").text(path)
     read = files.read_text_files(t.spark, path, "*.txt")
     rows = read.select(
         F.regexp_extract("path", "lang=([^/]+)", 1).alias("lang"),
@@ -126,6 +126,7 @@ def read_csv(t: Tables) -> DataFrame:
         t.spark,
         path,
         "description string, description_cln string, target string, example_id bigint",
+        multiLine="true",  # the descriptions have line breaks
         drop=["description_cln"],
         lineSep="\n",
     )
@@ -278,8 +279,11 @@ def feedback_partition(t: Tables) -> DataFrame:
 
 @query
 def union_feedback(t: Tables) -> DataFrame:
-    # Three branches read the rated requests, so they are written once.
-    rated = st.write_table(rated_requests(t), new_work_path(t.spark, "rated"))
+    # Three branches read the rated requests, so what they need of them is written once.
+    needed = rated_requests(t).select(
+        "log_request_id", "source_user", "is_correct", "suggested_output", "response"
+    )
+    rated = st.write_table(needed, new_work_path(t.spark, "rated"))
     return tagged(ev.union_feedback(rated))
 
 
@@ -509,8 +513,8 @@ def pct_drop(t: Tables) -> DataFrame:
 def conversation_history(t: Tables) -> DataFrame:
     history, _ = tb.conversation_history(t.conversations)
     return history.withColumn(
-        "history",
-        joined(F.transform("history", lambda h: F.concat_ws(":", h["turn"], h["role"], h["text"]))),
+        "page_history",
+        joined(F.transform("page_history", lambda h: F.concat_ws(":", h["turn"], h["role"], h["text"]))),
     )
 
 
@@ -1067,10 +1071,9 @@ def stream_index_sync(t: Tables) -> DataFrame:
 def stream_quality_monitor(t: Tables) -> DataFrame:
     figures = monitor.stream_quality_monitor(
         t.spark,
-        t.sf_dir,
+        f"{t.sf_dir}/events.parquet",
         t.events.schema,
         new_work_path(t.spark, "monitor"),
-        glob="events.parquet",
     )
     return figures.withColumn(
         "window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")

@@ -373,7 +373,7 @@ add("conversation_history", """
 SELECT conv_id, turn, turn // 64 AS page,
        coalesce(string_agg(concat(turn, ':', role, ':', text), '|') OVER (
            PARTITION BY conv_id, turn // 64 ORDER BY turn
-           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS history,
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS page_history,
        lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS last_message
 FROM conversations""")
 add("history_pages", """

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings; all of them may be changed on a running session.
 SQL_SETTINGS = {
@@ -76,3 +76,10 @@ def shared_dir(spark: SparkSession) -> str:
 def new_work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; never reused."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the shared folder and read back."""
+    path = new_work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

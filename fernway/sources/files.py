@@ -93,7 +93,10 @@ def parse_ticket(files: DataFrame) -> DataFrame:
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | str, drop: list[str] = (), **options
 ) -> DataFrame:
-    """CSV with a header and a stated schema; unwanted columns dropped, the rest as text."""
-    settings = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", **options}
+    """CSV with a header and a stated schema; unwanted columns dropped, the rest as text.
+
+    Files are split over tasks. Values with quoted line breaks need ``multiLine="true"``,
+    which makes each file one task's work."""
+    settings = {"header": "true", "quote": '"', "escape": '"', **options}
     read = spark.read.schema(schema).options(**settings).csv(path).drop(*drop)
     return read.select(*[F.col(c).cast("string") for c in read.columns])

@@ -27,7 +27,7 @@ class _Blocks(HTMLParser):
         self.blocks: list[tuple[int, str]] = []
         self._text: list[str] = []
         self._level = 0
-        self._hidden = 0
+        self._open: list[str] = []
 
     def _end_block(self) -> None:
         text = re.sub(r"[ \t\n\r\f]+", " ", "".join(self._text)).strip(" ")
@@ -36,21 +36,24 @@ class _Blocks(HTMLParser):
         self._text.clear()
 
     def handle_starttag(self, tag, attrs):
+        # The end tag of a head may be left out; the body ends it, and so does a block.
+        if tag == "body" or tag in BLOCK_TAGS and self._open == ["head"]:
+            self._open.clear()
         if tag in HIDDEN_TAGS:
-            self._hidden += 1
+            self._open.append(tag)
         if tag in BLOCK_TAGS:
             self._end_block()
             self._level = HEADINGS.get(tag, 0)
 
     def handle_endtag(self, tag):
-        if tag in HIDDEN_TAGS:
-            self._hidden = max(0, self._hidden - 1)
+        if tag in self._open:
+            del self._open[self._open.index(tag) :]
         if tag in BLOCK_TAGS:
             self._end_block()
             self._level = 0
 
     def handle_data(self, data):
-        if not self._hidden:
+        if not self._open:
             self._text.append(data)
 
 

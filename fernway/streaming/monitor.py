@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -21,39 +21,36 @@ def stream_quality_monitor(
     schema: StructType,
     out: str,
     window: str = "1 day",
-    delay: str = "1 day",
     files_per_batch: int = 1000,
-    glob: str = "*.parquet",
 ) -> DataFrame:
-    """Watermarked tumbling windows over a folder of event files; runs until all are read.
+    """Tumbling windows over the event files at ``source``, a file or a folder; runs until all
+    are read, and goes on with new files in the next run.
 
-    Events later than ``delay`` are dropped and the state of closed windows is freed. Each
-    batch writes the windows it changed into its own folder, replacing that folder if the
-    batch is repeated. The result is every window's newest figures.
+    No event is late: each batch adds its own sums and counts for the windows it has rows of,
+    whatever their age, and the result adds them up. So no state is kept and none is dropped. A
+    batch writes a folder of its own, replaced if the batch is repeated.
     """
     events = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
-        .option("pathGlobFilter", glob)
-        .parquet(source)
+        .parquet(f"{source}*")
         .withColumn("ts", F.col("ts").cast("timestamp"))
-        .withWatermark("ts", delay)
     )
 
     def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/windows/batch={number}")
+        sums = windowed_quality(batch, window)
+        sums.write.mode("overwrite").parquet(f"{out}/windows/batch={number}")
 
-    figures = windowed_quality(events, window)
+    none = spark.createDataFrame([], events.schema)
+    windowed_quality(none, window).write.mode("overwrite").parquet(f"{out}/windows/batch=-1")
     query = (
-        figures.writeStream.outputMode("update")
-        .foreachBatch(keep)
+        events.writeStream.foreachBatch(keep)
         .option("checkpointLocation", f"{out}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    updates = spark.read.option("basePath", f"{out}/windows").parquet(f"{out}/windows")
-    newest = W.partitionBy("window_start", "event_type").orderBy(F.desc("batch"))
-    return (
-        updates.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn", "batch")
+    parts = spark.read.option("basePath", f"{out}/windows").parquet(f"{out}/windows")
+    return parts.groupBy("window_start", "event_type").agg(
+        *[F.sum(c).alias(c) for c in ("n", "value_cents", "n_slow")]
     )

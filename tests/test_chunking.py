@@ -1,7 +1,7 @@
 import random
 import re
 
-from hypothesis import given, settings, strategies as st
+from hypothesis import example, given, settings, strategies as st
 
 from fernway.operators import chunking as ch
 from fernway.sources.html import html_blocks, markdown_blocks
@@ -13,7 +13,8 @@ def squash(text):
     return re.sub(r"\s+", "", text)
 
 
-@settings(max_examples=150, deadline=None)
+@settings(max_examples=150, deadline=None, derandomize=True)
+@example("a" * 21, 20)
 @given(texts, st.integers(20, 200))
 def test_recursive_chunks_fit_and_lose_nothing(text, size):
     chunks = ch.split_recursive(text, size, size // 4)
@@ -21,10 +22,8 @@ def test_recursive_chunks_fit_and_lose_nothing(text, size):
     # Every chunk is a piece of the text, and walking the text chunk by chunk leaves no gap.
     bare, reached, start = squash(text), 0, 0
     for chunk in map(squash, chunks):
-        at = bare.find(chunk, start)
-        while at != -1 and at > reached:
-            at = bare.rfind(chunk, 0, reached + len(chunk))
-            break
+        # In a repetitive text a chunk may stand in several places: the last one that leaves no gap.
+        at = bare.rfind(chunk, start, reached + len(chunk))
         assert at != -1 and at <= reached
         reached = max(reached, at + len(chunk))
         start = max(0, at)

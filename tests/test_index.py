@@ -85,6 +85,18 @@ def test_monitor_stream_equals_batch_over_several_runs(spark):
     assert got.count() == want.count() > 1
 
 
+def test_monitor_counts_events_of_any_order(spark):
+    # A table of several files, the newest events in the first batch.
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    inbox, out = new_work_path(spark, "events.parquet"), new_work_path(spark, "monitor")
+    rows = events.orderBy(F.desc("ts")).collect()
+    for i in range(0, len(rows), 350):
+        part = spark.createDataFrame(rows[i : i + 350], events.schema)
+        part.coalesce(1).write.mode("append").parquet(inbox)
+    got = stream_quality_monitor(spark, inbox, events.schema, out, files_per_batch=1)
+    assert got.agg(F.sum("n")).first()[0] == len(rows)
+
+
 def test_latest_file_of_a_batch_wins(spark):
     root, inbox = new_work_path(spark, "stream"), new_work_path(spark, "inbox")
     embed, _ = embedder(spark)

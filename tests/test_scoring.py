@@ -174,7 +174,7 @@ def test_history_crosses_pages(spark):
     turns = one(spark, "conv_id int, turn long, role string, text string",
                 *[(1, i, "user", f"m{i}") for i in (0, 1, 2, 5, 9)])
     history, pages = tb.conversation_history(turns, page_turns=3)
-    got = {r.turn: (r.page, [h.text for h in r.history], r.last_message) for r in history.collect()}
+    got = {r.turn: (r.page, [h.text for h in r.page_history], r.last_message) for r in history.collect()}
     assert got == {
         0: (0, [], None), 1: (0, ["m0"], "m0"), 2: (0, ["m0", "m1"], "m1"),
         5: (1, [], "m2"), 9: (3, [], "m5"),
@@ -182,6 +182,10 @@ def test_history_crosses_pages(spark):
     assert {r.page: [t.text for t in r.turns] for r in pages.collect()} == {
         0: ["m0", "m1", "m2"], 1: ["m5"], 3: ["m9"],
     }
+    whole = tb.full_history(turns.where("turn IN (2, 9)"), turns, page_turns=3).collect()
+    assert {r.turn: [h.text for h in r.history] for r in whole} == {
+        2: ["m0", "m1"], 9: ["m0", "m1", "m2", "m5"],
+    }
 
 
 def test_rules_beside_the_labels_they_stand_for(spark):

@@ -100,12 +100,31 @@ def test_malformed_files_do_not_fail(spark):
     assert files.parse_ticket(df).count() == 3
 
 
+def test_csv_of_several_blocks_gives_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "big.csv")
+    with open(path, "w") as f:
+        f.write("a,b\n" + "x,1\n" * 5000)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        got = files.read_csv(spark, path, "a string, b int")
+        assert got.rdd.getNumPartitions() > 3 and got.count() == 5000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_page_with_an_open_head_keeps_its_text():
+    page = "<html><head><title>x</title><body><h1>T</h1><p>hello</p></body></html>"
+    assert [text for _, text in html.html_blocks(page)] == ["T", "hello"]
+    assert [text for _, text in html.html_blocks("<head><style>p{}</style><p>a</p>")] == ["a"]
+
+
 def test_csv_with_quotes_and_line_breaks(spark, tmp_path):
     path = str(tmp_path / "csv")
     rows = [('say "hi"\nthere', "x", 1), ("a,b", "y", 2)]
     df = spark.createDataFrame(rows, "description string, junk string, target int")
     df.write.option("header", "true").option("escape", '"').csv(path)
-    got = files.read_csv(spark, path, df.schema, drop=["junk"])
+    got = files.read_csv(spark, path, df.schema, drop=["junk"], multiLine="true")
     assert got.dtypes == [("description", "string"), ("target", "string")]
     assert sorted(map(tuple, got.collect())) == [("a,b", "2"), ('say "hi"\nthere', "1")]
 
