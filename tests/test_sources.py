@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from fernway.functions import scalars
-from fernway.sources import changes, files, tables as st
+from fernway.sources import changes, files, html, tables as st
 
 ARTICLE = """ID: KB-7
 Type: FAQ
