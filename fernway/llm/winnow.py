@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..functions.joins import fits_broadcast
 from .common import bind, packed, saved, text_or_empty, words
 
 GRAM, WINDOW = 3, 6
 PLACES = 31  # bits for a position
 LAST = (1 << PLACES) - 1
-SPAN_ROWS = 20_000
+SPAN_ROWS = 2_000
 
 
 def picks(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
@@ -76,80 +77,61 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
 
 
-def following(keys: DataFrame) -> DataFrame:
-    """For each ``id, key`` the next one by descending id (then key), the first after the last.
-
-    Ids are cut into ranges of equal width; rows are ordered inside a range, and one row per
-    range is ordered over all of them. Null ids come last.
-    """
-    low, high, n = keys.agg(F.min("id"), F.max("id"), F.count("*")).first()
-    low, high = low or 0, high or 0
-    width = max(1.0, (high - low) / max(1, n // SPAN_ROWS))
-    span = F.coalesce(F.floor((F.col("id").cast("double") - float(low)) / width), F.lit(-1))
-    order = [F.desc_nulls_last("id"), F.desc("key")]
-    inside = W.partitionBy("_span").orderBy(*order)
-    me = F.struct("id", "key")
-    ranged = saved(
-        keys.withColumn("_span", span).select(
-            "*", F.row_number().over(inside).alias("_at"), F.lead(me).over(inside).alias("_next")
-        ),
-        "winnow-order",
-    )
-    spans = W.orderBy(F.desc("_span"))
-    heads = ranged.where("_at = 1").select(
-        "_span",
-        F.coalesce(
-            F.lead(me).over(spans),
-            F.first(me).over(spans.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)),
-        ).alias("_outer"),
-    )
-    near = F.coalesce("_next", "_outer")
-    return ranged.join(heads, "_span").select(
-        "id", "key", "n_chars", near["id"].alias("next_id"), near["key"].alias("next_key")
-    )
-
-
 def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of every whole text and of an edited text, and their likeness.
 
     The edited text has its last third of code points replaced by the first as many of the next
-    document, by descending id. Returns ``doc_id, n_chars, edited, chosen, edited_chosen,
-    near_edited, near_next``.
+    document, by descending id, the last being followed by the first. Returns ``doc_id, n_chars,
+    edited, chosen, edited_chosen, near_edited, near_next``.
+
+    Ids are cut into ranges of equal width with about ``SPAN_ROWS`` rows. Texts are moved once, to
+    the task of their range, where the next text is the next row; only the first document of
+    each range is fetched for the range above it.
 
-    Null text counts as empty. Rows equal in id and text are one document in the order and each
-    get its result; rows of one id and other texts follow each other by text hash; null ids come
-    last. A single document follows itself. What travels to the predecessor is only the part of
-    the text it takes and a hash set.
+    Null text counts as empty. Rows of one id follow each other by text hash, equal rows are each
+    other's next; null ids come last, as one range. A single document follows itself.
     """
+    value = text_or_empty(F.col(f"doc.{text}"))
     source = packed(docs).select(
-        F.col(f"doc.{doc_id}").alias("id"),
-        text_or_empty(F.col(f"doc.{text}")).alias("text"),
-        F.xxhash64(text_or_empty(F.col(f"doc.{text}"))).alias("key"),
+        F.col(f"doc.{doc_id}").alias("id"), value.alias("text"), F.xxhash64(value).alias("key")
     )
-    keys = saved(
-        source.select("id", "key", F.char_length("text").alias("n_chars")).distinct(), "winnow-keys"
+    low, high, n = source.agg(F.min("id"), F.max("id"), F.count("*")).first()
+    low, high = low or 0, high or 0
+    width = max(1.0, (high - low) / max(1, n // SPAN_ROWS))
+    span = F.coalesce(F.floor((F.col("id").cast("double") - float(low)) / width), F.lit(-1))
+    source = source.withColumn("_span", span)
+
+    me = F.struct("id", "key")
+    heads = saved(source.groupBy("_span").agg(F.max(me).alias("_head")), "winnow-heads")
+    spans = W.orderBy(F.desc("_span"))
+    first = F.first("_head").over(spans.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    links = saved(
+        heads.select(
+            F.col("_span").alias("_of"), F.coalesce(F.lead("_head").over(spans), first).alias("_h")
+        ).select("_of", F.col("_h.id").alias("_id"), F.col("_h.key").alias("_key")),
+        "winnow-links",
     )
-    order = saved(following(keys), "winnow-next")
-    takes = order.select(
-        "next_id", "next_key", F.col("id").alias("to_id"), F.col("key").alias("to_key"), "n_chars"
+    match = F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
+    near = F.broadcast(links) if fits_broadcast(links) else links
+    edges = saved(
+        source.join(near, match).dropDuplicates(["_of"]).select(
+            "_of", F.struct("text", hash_set(picks(F.col("text"))).alias("set")).alias("_edge")
+        ),
+        "winnow-edges",
     )
-    one = W.partitionBy("id", "key").orderBy(F.lit(1))
+    inside = W.partitionBy("_span").orderBy(F.desc_nulls_last("id"), F.desc("key"))
+    moved = source.repartition("_span").withColumn("set", hash_set(picks(F.col("text"))))
     donors = (
-        source.withColumn("_one", F.row_number().over(one))
-        .where("_one = 1")
-        .join(takes, F.col("id").eqNullSafe(F.col("next_id")) & (F.col("key") == F.col("next_key")))
-        .select(
-            "to_id",
-            "to_key",
-            "n_chars",
-            F.left("text", F.floor(F.col("n_chars") / 3).cast("int")).alias("given"),
-            hash_set(picks(F.col("text"))).alias("next_set"),
-        )
+        moved.withColumn("_next", F.lead(F.struct("text", "set")).over(inside))
+        .join(edges, F.col("_span") == F.col("_of"))
+        .withColumn("_next", F.coalesce("_next", "_edge"))
+        .withColumn("n_chars", F.char_length("text"))
+        .withColumn("given", F.left(F.col("_next.text"), F.floor(F.col("n_chars") / 3).cast("int")))
+        .withColumn("next_set", F.col("_next.set"))
     )
     keep = F.left("text", F.col("n_chars") - F.floor(F.col("n_chars") / 3).cast("int"))
     return (
-        source.join(donors, F.col("id").eqNullSafe(F.col("to_id")) & (F.col("key") == F.col("to_key")))
-        .select("id", "n_chars", "text", F.concat(keep, "given").alias("edited"), "next_set")
+        donors.select("id", "n_chars", "text", F.concat(keep, "given").alias("edited"), "next_set")
         .select(
             "*",
             picks(F.col("text")).alias("chosen"),

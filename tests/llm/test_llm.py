@@ -184,17 +184,22 @@ def test_urls(spark):
                    5: (True, "a.b.example.org", 8), 6: none}
 
 
-def test_winnow(spark, docs):
-    rows = {(r.doc_id, r.text or "") for r in docs.where("doc_id <> 4 AND doc_id IS NOT NULL").collect()}
-    got = winnow.fingerprint_edits(docs.where("doc_id <> 4 AND doc_id IS NOT NULL"))
-    out = got.select("doc_id", "edited", "chosen", winnow.shown(F.col("chosen")).alias("f"), "near_edited").collect()
-    ids = sorted(rows, reverse=True)
-    after = {a[0]: (a[1], b[1]) for a, b in zip(ids, ids[1:] + ids[:1])}
+def test_winnow(spark, docs, monkeypatch):
+    some = docs.where("doc_id <> 4 AND doc_id IS NOT NULL")
+    ids = sorted(((r.doc_id, r.text or "") for r in some.collect()), reverse=True)
+    want = []
+    for (i, own), (_, other) in zip(ids, ids[1:] + ids[:1]):
+        cut = len(own) // 3
+        want.append((i, own[: len(own) - cut] + other[:cut]))
+    monkeypatch.setattr(winnow, "SPAN_ROWS", 10)
+    got = winnow.fingerprint_edits(some)
+    out = got.select("doc_id", "n_chars", "edited", "chosen", winnow.shown(F.col("chosen")).alias("f"), "near_edited").collect()
+    assert sorted((r.doc_id, r.edited) for r in out) == sorted(want)
+    texts_of = dict(ids)
     shown = {}
     for r in out:
-        own, other = after[r.doc_id]
-        cut = len(own) // 3
-        assert r.edited == own[: len(own) - cut] + other[:cut]
+        own = texts_of[r.doc_id]
+        assert r.n_chars == len(own)
         assert 0 <= r.near_edited <= 1
         assert shown.setdefault(own, r.f) == r.f
         # Rightmost least gram of each window.
