@@ -92,15 +92,25 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
         key[: n - j] |= text[j:] + 1
     order = np.argsort(key)
     rank = np.empty(n, np.int64)
-    rank[order] = np.cumsum(np.append(0, key[order[1:]] != key[order[:-1]]))
-    while rank[order[-1]] < n - 1:
-        after = np.zeros(n, np.int64)
-        after[: n - step] = rank[step:] + 1
-        key = rank * (n + 1) + after
-        order = np.argsort(key)
-        rank[order] = np.cumsum(np.append(0, key[order[1:]] != key[order[:-1]]))
+    live = np.arange(n)
+    key = key[order]
+    while True:
+        # The rank of a suffix is the first place of those not yet told apart from it.
+        heads = np.append(True, key[1:] != key[:-1])
+        sizes = np.diff(np.flatnonzero(heads), append=len(live))
+        rank[order[live]] = np.repeat(live[heads], sizes)
+        live = live[np.repeat(sizes > 1, sizes)]
+        if not len(live):
+            return order
+        # Only these are sorted further, within their places.
+        at = order[live]
+        after = at + step
+        key = rank[at] * (n + 1)
+        inside = after < n
+        key[inside] += rank[after[inside]] + 1
+        sort = np.argsort(key)
+        order[live], key = at[sort], key[sort]
         step *= 2
-    return order
 
 
 def _ragged(starts: np.ndarray, sizes: np.ndarray):
@@ -129,22 +139,21 @@ def common_prefixes(order: np.ndarray, text: np.ndarray, n_ends: int, length: in
     first = text[order]
     border[np.flatnonzero(first[1:] != first[:-1]) + 1] = True
     fresh = np.flatnonzero(border[:-1])
+    sizes = np.diff(fresh, append=n)
     for _ in range(1, length):
         if not len(fresh):
             break
-        # Each fresh border begins an interval that ends at the next border.
-        known = np.flatnonzero(border)
-        ends = known[np.searchsorted(known, fresh, "right")]
-        at, of = _ragged(fresh, ends - fresh)
-        # The first suffix of every letter in an interval begins an interval of the next length.
+        at, of = _ragged(fresh, sizes)
+        # The suffixes of an interval with one letter before them are an interval of the next
+        # length, which begins at the first of them.
         letters = before[at]
         live = letters >= n_ends
         at, key = at[live], of[live] * 512 + (letters[live] - n_ends)
-        _, where = np.unique(key, return_index=True)
-        new = jump[at[where]]
-        new = new[~border[new]]
-        border[new] = True
-        fresh = np.unique(new)
+        _, where, sizes = np.unique(key, return_index=True, return_counts=True)
+        fresh = jump[at[where]]
+        new = ~border[fresh]
+        fresh, sizes = fresh[new], sizes[new]
+        border[fresh] = True
     return ~border[:-1]
 
 
