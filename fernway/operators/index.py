@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
+from ..functions.joins import lookup_join
 from ..sources.changes import content_hash
 
 Embed = Callable[[DataFrame], DataFrame]
@@ -31,20 +32,22 @@ def committed_version(spark: SparkSession, root: str) -> int:
 def read_index(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     """The index as of a version: newest row per key, deletions removed.
 
-    The literal ``= 1`` lets map tasks drop older rows of a key before the exchange.
+    The last complete rewrite stays where it is, without the keys changed since, which are
+    broadcast if measured to be few. Only the changes are ranked, by the literal ``= 1``.
     """
     newest = committed_version(spark, root) if version is None else version
     if newest == 0:
         raise FileNotFoundError(f"no index at {root}")
-    rows = spark.read.option("basePath", f"{root}/rows").parquet(
-        *[f"{root}/rows/v={v}" for v in range(_base(spark, root, newest), newest + 1)]
-    )
+    base = _base(spark, root, newest)
+    stored = spark.read.option("basePath", f"{root}/rows")
+    whole = stored.parquet(f"{root}/rows/v={base}").drop("deleted")
+    if newest == base:
+        return whole
+    later = stored.parquet(*[f"{root}/rows/v={v}" for v in range(base + 1, newest + 1)])
     order = W.partitionBy("id").orderBy(F.desc("v"))
-    return (
-        rows.withColumn("_rn", F.row_number().over(order))
-        .where("_rn = 1 AND NOT deleted")
-        .drop("_rn", "deleted")
-    )
+    latest = later.withColumn("_rn", F.row_number().over(order)).where("_rn = 1 AND NOT deleted")
+    untouched = lookup_join(whole, later.select("id").distinct(), ["id"], "left_anti")
+    return untouched.unionByName(latest.drop("_rn", "deleted"))
 
 
 def _base(spark: SparkSession, root: str, version: int) -> int:
@@ -76,8 +79,12 @@ def index_sync(
     ``embed`` adds column ``embedding`` and sees changed rows only. The comparison moves
     keys and digests, never texts or vectors. With ``deletes=False`` rows absent from
     ``source`` stay, as for a batch of additions. A sync without changes writes nothing.
+    Keys must be unique and not null in ``source``; others raise ``ValueError``.
     """
     version = committed_version(spark, root)
+    uses = source.groupBy(F.col(key).alias("id")).agg(F.count("*").alias("n"))
+    if not uses.where("n > 1 OR id IS NULL").isEmpty():
+        raise ValueError(f"{key} is null or not unique")
     rows = source.select(F.col(key).alias("id"), F.col(text).alias("text")).withColumn(
         "hash", content_hash("text")
     )

@@ -165,11 +165,13 @@ def attribute_per_key(df: DataFrame, key: str, values: list[str]) -> DataFrame:
 
 
 def latest_note(visits: DataFrame, key: str, note: str) -> DataFrame:
-    """Note of the latest visit per key, by date and then id."""
-    return visits.groupBy(key).agg(
-        F.max_by(note, F.struct("visit_date", "visit_id")).alias(note),
-        F.max("visit_date").alias("visit_date"),
-    )
+    """Note of the latest visit per key, by date and then id.
+
+    Map tasks forward one row per key, so texts that lose aren't moved.
+    """
+    order = W.partitionBy(key).orderBy(F.desc("visit_date"), F.desc("visit_id"))
+    ranked = visits.withColumn("_rn", F.row_number().over(order)).where("_rn = 1")
+    return ranked.select(key, note, "visit_date")
 
 
 def latest_quote(quotes: DataFrame) -> DataFrame:

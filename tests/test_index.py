@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from fernway.operators import index as ix
@@ -49,6 +50,24 @@ def test_sync_embeds_changed_rows_only(spark):
     assert content(spark, root) == {1: ("a", 1.0), 2: ("bb", 2.0), 3: ("ccc", 3.0)}
 
 
+def test_keys_must_be_unique(spark):
+    root = new_work_path(spark, "index")
+    embed, _ = embedder(spark)
+    for rows in ([(1, "a"), (1, "b")], [(None, "a")]):
+        with pytest.raises(ValueError):
+            ix.index_sync(spark, root, spark.createDataFrame(rows, SCHEMA), "doc", "body", embed)
+
+
+def test_the_base_is_not_moved_when_read(spark):
+    root = new_work_path(spark, "index")
+    embed, _ = embedder(spark)
+    for rows in ([(1, "a"), (2, "b")], [(1, "a"), (2, "c")]):
+        ix.index_sync(spark, root, spark.createDataFrame(rows, SCHEMA), "doc", "body", embed)
+    plan = ix.read_index(spark, root)._jdf.queryExecution().executedPlan().toString()
+    anti = plan[plan.index("BroadcastHashJoin") :]
+    assert "LeftAnti" in anti.splitlines()[0] and "SortMergeJoin" not in plan
+
+
 def test_rows_of_a_failed_sync_are_not_read(spark):
     root = new_work_path(spark, "index")
     embed, _ = embedder(spark)
