@@ -8,18 +8,43 @@ from ..functions.joins import fits_broadcast
 from .common import bind, packed, saved, text_or_empty, words
 
 GRAM, WINDOW = 3, 6
+PIECE = 16  # code points; a longer word is all its substrings of that many
 PLACES = 31  # bits for a position
 LAST = (1 << PLACES) - 1
 SPAN_ROWS = 2_000
 
 
+def units(text: Column) -> Column:
+    """Words, a word of more than ``PIECE`` code points as its substrings of that many from every
+    code point on. So text without white space has units too, wherever a copy of it begins."""
+
+    def pieces(word: Column) -> Column:
+        return bind(
+            F.split(word, ""),
+            lambda c: F.transform(
+                F.sequence(F.lit(1), F.size(c) - PIECE + 1),
+                lambda i: F.array_join(F.slice(c, i, PIECE), ""),
+            ),
+        )
+
+    def cut(w: Column) -> Column:
+        parts = F.transform(
+            w, lambda x: F.when(F.char_length(x) > PIECE, pieces(x)).otherwise(F.array(x))
+        )
+        return F.when(F.exists(w, lambda x: F.char_length(x) > PIECE), F.flatten(parts)).otherwise(w)
+
+    return bind(words(text), cut)
+
+
 def picks(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
     """Chosen gram hashes with their positions, in order of position.
 
-    The grams are runs of ``gram`` words (of all words in a shorter text), hashed to 32 bits. The
-    least hash of every ``window`` neighbouring grams is chosen, the rightmost among equals. Texts
-    that share ``window + gram - 1`` words in a row share a choice. A choice is one number: the hash
-    above, the position below and counted down, so that the least number is the rule.
+    The grams are runs of ``gram`` units (of all units in a shorter text), each hashed anew to 32
+    bits by Spark's hash, which doesn't roll. The least hash of every ``window`` neighbouring grams
+    is chosen, the rightmost among equals. Texts that share ``window + gram - 1`` units in a row share
+    a choice, so do long words that share ``PIECE + window + gram - 2`` code points in a row. A choice
+    is one number: the hash above, the position below and counted down, so that the least number is
+    the rule.
     """
 
     def marked(w: Column) -> Column:
@@ -43,7 +68,7 @@ def picks(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
         none = F.array().cast("array<bigint>")
         return F.when(F.size(w) == 0, none).otherwise(bind(numbered, least))
 
-    return bind(words(text), marked)
+    return bind(units(text), marked)
 
 
 def hash_of(pick: Column) -> Column:
@@ -51,7 +76,7 @@ def hash_of(pick: Column) -> Column:
 
 
 def place_of(pick: Column) -> Column:
-    """Position of the gram's first word."""
+    """Position of the gram's first unit."""
     return F.lit(LAST) - pick.bitwiseAND(F.lit(LAST))
 
 

@@ -210,6 +210,33 @@ def test_winnow(spark, docs, monkeypatch):
         assert all(any(i <= p < i + winnow.WINDOW for p in places) for i in range(max(0, n - winnow.WINDOW + 1)))
 
 
+def test_winnow_without_white_space(spark):
+    rnd = random.Random(7)
+
+    def han(n):
+        return "".join(chr(rnd.randint(0x4E00, 0x9FFF)) for _ in range(n))
+
+    passage = han(winnow.PIECE + winnow.WINDOW + winnow.GRAM - 2)
+    base, emoji = han(900), "".join(chr(0x1F300 + rnd.randint(0, 99)) for _ in range(300))
+    some = [base, "a" * 900, "x" + base, emoji, han(50) + passage + han(40), han(33) + passage + "b c", han(600)]
+    some += ["w " * 20 + base + " end", "q" * winnow.PIECE, "q" * (winnow.PIECE + 1)]
+    df = spark.createDataFrame(rows_of(some), SHAPE)
+    out = {r.doc_id: r for r in winnow.fingerprint_edits(df).collect()}
+    for i in (0, 1, 2, 3, 6, 7):
+        assert 0.3 < out[i].near_edited < 1 or (i == 1 and 0 < out[i].near_edited < 1), i
+    for i, r in out.items():
+        plain = []
+        for w in words(some[i]):
+            plain += [w[j : j + winnow.PIECE] for j in range(max(1, len(w) - winnow.PIECE + 1))]
+        places = [winnow.LAST - (p & winnow.LAST) for p in r.chosen]
+        n = max(1, len(plain) - winnow.GRAM + 1)
+        assert all(any(j <= p < j + winnow.WINDOW for p in places) for j in range(max(1, n - winnow.WINDOW + 1)))
+        assert max(places) < n
+    sets = {i: {p >> winnow.PLACES for p in r.chosen} for i, r in out.items()}
+    assert len(sets[0] & sets[2]) / len(sets[0] | sets[2]) > 0.95
+    assert sets[0] & sets[7] and sets[4] & sets[5] and not sets[0] & sets[6]
+
+
 def test_warc(spark):
     inner = "WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.0\r\n"
     same = "same payload " * 20
