@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -183,20 +185,27 @@ def _as_ranges(starts: np.ndarray):
     return list(zip(starts[np.append(0, cut + 1)].tolist(), starts[np.append(cut, -1)].tolist()))
 
 
-RUNS = "k1 long, k2 long, many boolean, start long, n long, m long, self boolean"
+RUNS = "k1 long, k2 long, many boolean, start long, n long, m long, c long, self boolean"
 TEXTS = "k1 long, k2 long, many boolean, m long, start long, content binary"
+WINDOWS = "k1 long, k2 long, many boolean, at long, w binary"
 SPANS = "k1 long, k2 long, low long, high long"
 
 
+def _short(content: bytes) -> int:
+    return int.from_bytes(blake2b(content, digest_size=8).digest(), "little", signed=True)
+
+
 def _emit_runs(length):
     def emit(batches):
         for batch in batches:
             out = []
             for k1, k2, many, text in zip(*(batch[c] for c in ("k1", "k2", "many", "text"))):
-                data = np.frombuffer(text.encode(), np.uint8)
-                start, n, m, again = runs_of(data, length)
-                frame = {"k1": k1, "k2": k2, "many": many, "start": start, "n": n, "m": m, "self": again}
-                out.append(pd.DataFrame(frame))
+                data = text.encode()
+                start, n, m, again = runs_of(np.frombuffer(data, np.uint8), length)
+                ends = (start + n + length - 1).tolist()
+                c = np.array([_short(data[i:j]) for i, j in zip(start.tolist(), ends)], np.int64)
+                frame = {"k1": k1, "k2": k2, "many": many, "start": start, "n": n, "m": m, "c": c}
+                out.append(pd.DataFrame(frame | {"self": again}))
             if out:
                 yield pd.concat(out, ignore_index=True)
 
@@ -219,40 +228,48 @@ def _emit_contents(length):
     return emit
 
 
-def _emit_spans(length):
-    """Rows come in the order of their minimiser; groups share a BWT up to ``BATCH`` bytes."""
-
-    def solve(groups):
-        spans, distinct = [], []
-        for group in groups:
-            for content, places in group.items():
-                if len(places) > 1 or places[0][2]:
-                    # A content that occurs again is repeated as a whole.
-                    spans += [(k1, k2, s, s + len(content)) for k1, k2, many, s in places if not many]
-                distinct.append((content, places))
-        found = repeated_windows([c for c, _ in distinct], length)
-        for (_, places), starts in zip(distinct, found):
-            if len(places) == 1 and not places[0][2]:
-                k1, k2, _, s = places[0]
-                spans += [(k1, k2, s + a, s + b + length) for a, b in _as_ranges(starts)]
+def _emit_windows(length):
+    """Every window of the runs by a 128-bit digest."""
+
+    def emit(batches):
+        for batch in batches:
+            for k1, k2, many, text, runs in zip(
+                *(batch[c] for c in ("k1", "k2", "many", "text", "runs"))
+            ):
+                data = text.encode()
+                for r in runs:
+                    at = range(r["start"], r["start"] + r["n"])
+                    w = [blake2b(data[i : i + length], digest_size=16).digest() for i in at]
+                    yield pd.DataFrame({"k1": k1, "k2": k2, "many": many, "at": at, "w": w})
+
+    return emit
+
+
+def _emit_spans(length, batch_bytes):
+    """Rows come in the order of their minimiser, each content once; minimisers share a BWT up to
+    ``batch_bytes``."""
+
+    def solve(rows):
+        spans = []
+        found = repeated_windows([content for *_, content in rows], length)
+        for (k1, k2, many, start, _), starts in zip(rows, found):
+            if not many:
+                spans += [(k1, k2, start + a, start + b + length) for a, b in _as_ranges(starts)]
         return pd.DataFrame(spans, columns=["k1", "k2", "low", "high"])
 
     def emit(batches):
-        groups, held, last = [], 0, None
+        rows, held, last = [], 0, None
         for batch in batches:
             for row in zip(*(batch[c] for c in ("k1", "k2", "many", "start", "m", "content"))):
-                k1, k2, many, start, m, content = row
-                if m != last:
-                    if held > BATCH:
-                        yield solve(groups)
-                        groups, held = [], 0
-                    groups.append({})
-                    last = m
-                if content not in groups[-1]:
-                    held += len(content)
-                groups[-1].setdefault(content, []).append((k1, k2, many, start))
-        if groups:
-            yield solve(groups)
+                *place, m, content = row
+                if m != last and held > batch_bytes:
+                    yield solve(rows)
+                    rows, held = [], 0
+                last = m
+                held += len(content)
+                rows.append((*place, content))
+        if rows:
+            yield solve(rows)
 
     return emit
 
@@ -277,7 +294,9 @@ def _cut(text: str | None, whole: bool, spans, length: int):
     return len(data), len(data) - len(rest), len(merged), rest
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", *, length: int = LENGTH) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, text: str = "text", *, length: int = LENGTH, batch_bytes: int = BATCH
+) -> DataFrame:
     """Remove each byte covered by a ``length``-byte string that also starts anywhere else.
 
     Returns ``doc`` (the input row), ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed
@@ -286,9 +305,13 @@ def remove_repeats(docs: DataFrame, text: str = "text", *, length: int = LENGTH)
     Rows with equal texts are one text, known by two 64-bit hashes, that is repeated as a whole if
     long enough. The windows of every distinct text are cut into runs with one minimiser; a
     minimiser that occurs once in all texts can't be that of a repeated window. Runs of the others
-    meet by minimiser, and the common prefixes of their suffixes are derived on a
-    Burrows-Wheeler transform by breadth-first backward extension up to ``length``. Equal windows
-    have equal minimisers, so the result is exact but for 64-bit hash collisions of texts.
+    with one content are repeated as a whole, and one of them is kept. Different contents meet by
+    minimiser, and the common prefixes of their suffixes are derived on a Burrows-Wheeler
+    transform by breadth-first backward extension up to ``length``. Equal windows have equal
+    minimisers. Where the contents of a minimiser exceed ``batch_bytes``, their windows are counted
+    by digest instead, in as many tasks as there are, so no transform exceeds twice that much.
+    The result is exact but for hash collisions: 64 bits for equal texts, 64 bits beside minimiser
+    and length for equal runs, 128 bits for counted windows.
 
     Null is empty. Texts shorter than ``length`` stay as they are. Ids play no part.
     """
@@ -316,22 +339,62 @@ def remove_repeats(docs: DataFrame, text: str = "text", *, length: int = LENGTH)
         .select("m"),
         "suffix-shared",
     )
+    # One kind of join at every size; hot keys are split. What follows is far smaller than all runs.
+    runs = saved(runs.join(shared.hint("merge"), ["m"], "left_semi"), "suffix-met")
+    alike = saved(
+        runs.groupBy("m", "n", "c")
+        .agg(
+            F.count("*").alias("_n"),
+            F.max(F.col("self").cast("int")).alias("_self"),
+            F.min(F.struct("k1", "k2", "start")).alias("_at"),
+        ),
+        "suffix-alike",
+    )
+    # Runs of one content are covered as a whole, wherever they are.
+    whole = lookup_join(
+        runs, saved(alike.where("_n > 1").select("m", "n", "c"), "suffix-often"), ["m", "n", "c"], "left_semi"
+    ).where("NOT many").select(
+        "k1", "k2", F.col("start").alias("low"), (F.col("start") + F.col("n") + length - 1).alias("high")
+    )
+    size = F.sum(F.col("n") + length - 1)
+    groups = saved(
+        alike.groupBy("m")
+        .agg(F.count("*").alias("_d"), (size > batch_bytes).alias("hot"), F.max("_self").alias("_any"))
+        .where("_d > 1 OR _any = 1")
+        .select("m", "_d", "hot"),
+        "suffix-groups",
+    )
     asked = (
-        lookup_join(runs, shared, ["m"], "left_semi")
-        .groupBy("k1", "k2")
-        .agg(F.collect_list(F.struct("start", "n", "m")).alias("runs"))
+        lookup_join(alike, groups, ["m"], "inner")
+        .where("_d > 1 OR _n = 1")
+        .groupBy(F.col("_at.k1").alias("k1"), F.col("_at.k2").alias("k2"), "hot")
+        .agg(F.collect_list(F.struct("_at.start", "n", "m")).alias("runs"))
     )
     asked = saved(asked, "suffix-asked")
-    contents = lookup_join(distinct, asked, ["k1", "k2"], "inner").mapInPandas(
-        _emit_contents(length), TEXTS
-    )
-    spans = (
-        contents.repartition("m")
+    contents = lookup_join(distinct, asked.where("NOT hot").drop("hot"), ["k1", "k2"], "inner")
+    found = (
+        contents.mapInPandas(_emit_contents(length), TEXTS)
+        .repartition("m")
         .sortWithinPartitions("m")
-        .mapInPandas(_emit_spans(length), SPANS)
-        .groupBy("k1", "k2")
-        .agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+        .mapInPandas(_emit_spans(length, batch_bytes), SPANS)
+        .union(whole)
     )
+    hot = asked.where("hot").drop("hot")
+    if not hot.isEmpty():
+        windows = lookup_join(distinct, hot, ["k1", "k2"], "inner").mapInPandas(
+            _emit_windows(length), WINDOWS
+        )
+        windows = saved(windows, "suffix-windows")
+        again = saved(
+            windows.groupBy("w").agg(F.count("*").alias("_n")).where("_n > 1").select("w"),
+            "suffix-again",
+        )
+        found = found.union(
+            lookup_join(windows, again, ["w"], "left_semi")
+            .where("NOT many")
+            .select("k1", "k2", F.col("at").alias("low"), (F.col("at") + length).alias("high"))
+        )
+    spans = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     spans = saved(spans, "suffix-spans").union(
         copies.select("k1", "k2", F.lit(None).cast("array<struct<low:bigint,high:bigint>>"))
     )

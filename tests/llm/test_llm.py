@@ -155,6 +155,41 @@ def test_suffix(spark, docs, length):
     )
 
 
+def test_suffix_bounds_each_transform(spark, docs, monkeypatch):
+    rnd = random.Random(11)
+    passage = "".join(rnd.choice("abcdefgh") for _ in range(150))
+    some = [
+        "".join(rnd.choice("xyz") for _ in range(60)) + passage + "".join(rnd.choice("xyz") for _ in range(60))
+        for _ in range(80)
+    ]
+    some += [passage, some[3], "lone " + some[5][20:240], "z" * 400, None, "", "q" * 39, "é" * 90]
+    some += [r.text for r in docs.collect()]
+    batch, plain = 3000, suffix._emit_spans
+
+    def watched(length, batch_bytes):
+        emit = plain(length, batch_bytes)
+
+        def watch(batches):
+            batches = list(batches)
+            held = {}
+            for b in batches:
+                for m, content in zip(b["m"], b["content"]):
+                    held.setdefault(m, []).append(content)
+            for contents in held.values():
+                assert len(set(contents)) == len(contents)
+                assert sum(map(len, contents)) <= batch
+            yield from emit(iter(batches))
+
+        return watch
+
+    monkeypatch.setattr(suffix, "_emit_spans", watched)
+    df = spark.createDataFrame(rows_of(some), SHAPE)
+    got = suffix.remove_repeats(df, length=40, batch_bytes=batch).collect()
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == sorted(
+        brute_repeats(some, 40)
+    )
+
+
 def test_bwt_against_counting():
     rnd = random.Random(5)
     for trial in range(40):
