@@ -27,6 +27,9 @@ SLICE_ROWS = 20_000
 QUERY_ROWS = 4_096
 SCORED_AT_ONCE = 256
 MAX_PIVOTS = 256
+# Queries on which the number of probes is measured, and the standard errors held in reserve.
+HELD_QUERIES = 256
+Z = 2.0
 # Slack on bounds between float64 angles, far above their rounding error.
 EPSILON = 1e-6
 
@@ -276,6 +279,49 @@ def knn_join(
     return _ranked(hits.unionByName(others), k)
 
 
+def measured_probes(
+    queries: DataFrame,
+    query_key: str,
+    query_vector: str,
+    index: DataFrame,
+    key: str,
+    vector: str,
+    k: int,
+    recall: float,
+    pivots: int,
+) -> int:
+    """Fewest cells per query that find ``recall`` of the exact neighbours of a sample.
+
+    The sample is ``HELD_QUERIES`` queries by hash of the key, joined exactly. The mean over them
+    must reach ``recall`` by ``Z`` standard errors, as the other queries aren't measured.
+    """
+    spark = index.sparkSession
+    held = (
+        queries.select(F.col(query_key).cast("long").alias("query_id"), F.col(query_vector).alias("vec"))
+        .orderBy(F.xxhash64("query_id", F.lit(11)), "query_id")
+        .limit(HELD_QUERIES)
+        .collect()
+    )
+    if not held:
+        return 1
+    centres = choose_pivots(index, key, vector, pivots)
+    cells = assign_cells(index, key, vector, centres)
+    rows = [(r.query_id, [float(x) for x in r.vec]) for r in held]
+    asked = spark.createDataFrame(rows, "query_id long, vec array<double>")
+    exact = knn_join(asked, "query_id", "vec", index, key, vector, k, pivots=pivots)
+    near = cells.select("id", "cell").join(F.broadcast(exact), "id").select("query_id", "cell").toPandas()
+    used = cell_stats(cells)["cell"].to_numpy()
+    order = used[_angles(pd.Series([v for _, v in rows]), centres)[:, used].argsort(axis=1)]
+    place = {q: {c: i for i, c in enumerate(o)} for (q, _), o in zip(rows, order.tolist())}
+    near["place"] = [place[q][c] for q, c in zip(near["query_id"], near["cell"])]
+    for probes in range(1, len(used)):
+        shares = (near["place"] < probes).groupby(near["query_id"]).mean()
+        error = shares.std(ddof=0) / math.sqrt(len(shares))
+        if shares.mean() - Z * error >= recall:
+            return probes
+    return len(used)
+
+
 def ann_top_k(
     queries: DataFrame,
     query_key: str,
@@ -284,10 +330,19 @@ def ann_top_k(
     key: str,
     vector: str,
     k: int,
-    probes: int = 24,
+    probes: int | None = None,
     pivots: int = 64,
+    *,
+    recall: float = 0.9,
 ) -> DataFrame:
-    """Approximate ``knn_join``: only the ``probes`` cells nearest to each query are read."""
+    """Approximate ``knn_join``: only the ``probes`` cells nearest to each query are read.
+
+    Without ``probes`` their number is measured, so that ``recall`` of the neighbours are found.
+    """
+    if probes is None:
+        probes = measured_probes(
+            queries, query_key, query_vector, index, key, vector, k, recall, pivots
+        )
     return knn_join(
         queries, query_key, query_vector, index, key, vector, k, probes=probes, pivots=pivots
     )

@@ -73,6 +73,17 @@ def test_approximate_search_finds_most(spark):
     assert len(exact & near) / len(exact) >= 0.8
 
 
+@pytest.mark.parametrize("apart", [False, True])
+def test_approximate_search_finds_nine_tenths(spark, apart):
+    emb = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    queries, index = (emb.where("vec_id % 4 = 0"), emb.where("vec_id % 4 > 0")) if apart else (emb, emb)
+    args = (queries, "vec_id", "embedding", index, "vec_id", "embedding", 3)
+    exact = {(r.query_id, r.id) for r in ve.knn_join(*args).collect()}
+    near = {(r.query_id, r.id) for r in ve.ann_top_k(*args).collect()}
+    print("recall", apart, len(exact & near) / len(exact), ve.measured_probes(*args, 0.9, 64))
+    assert len(exact & near) / len(exact) >= 0.9
+
+
 def test_single_query_with_filter_and_zero_vector(spark):
     df = frame(spark, [[1, 0], [0, 1], [1, 1], [0, 0]]).selectExpr("*", "id % 2 AS odd")
     got = ve.vector_top_k(df, "id", "v", [1.0, 0.0], 2).collect()
