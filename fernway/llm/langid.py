@@ -162,8 +162,22 @@ def reject_unknown(
     lang: str = "lang",
     min_score: float = 0.1,
 ) -> DataFrame:
-    """Rows whose language is recognised: not ``und``, and a score of ``min_score`` or more."""
+    """Rows whose language is recognised: not ``und``, and a score of ``min_score`` or more.
+
+    Where no profile can be learned, as no row outside the held-out part has a language, only null
+    texts and texts without a letter are rejected.
+    """
     learned = learn_profiles(docs.where(~held_out(F.col(doc_id))), text, lang)
+    rows = learned.collect()
+    if not rows:
+        begin(docs.sparkSession)
+
+        @F.pandas_udf("boolean")
+        def lettered(texts: pd.Series) -> pd.Series:
+            return pd.Series([len(gram_codes(t)) > 0 for t in texts], dtype=bool)
+
+        return docs.where(lettered(F.col(text)))
+    learned = docs.sparkSession.createDataFrame(rows, learned.schema)
     found = predict_languages(docs, learned, text)
     kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
     return kept.select(*[F.col("doc")[n].alias(n) for n in docs.columns])

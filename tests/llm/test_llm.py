@@ -382,6 +382,14 @@ def test_targets():
     assert mixing.fill_targets([0, 0], [5, 2], 1.5, 2) == [0, 0]
 
 
+def test_no_language_to_learn_from(spark):
+    some = ["clean text", None, "", "12 !? 34", "süß", "日本"]
+    df = spark.createDataFrame([(i, t, None) for i, t in enumerate(some)], "doc_id long, text string, lang string")
+    got = langid.reject_unknown(df)
+    assert got.columns == df.columns
+    assert sorted(r.text for r in got.collect()) == sorted(["clean text", "süß", "日本"])
+
+
 EMPTY = ["dedup_lines", "near", "suffix", "winnow", "predict", "pieces", "quality", "mix", "warc"]
 
 
