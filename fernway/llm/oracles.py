@@ -69,3 +69,72 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM firsts"""
+
+SQL["op11_chat_format"] = r"""
+WITH rows_ AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+    FROM rows_),
+marked AS (
+    SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS last_role,
+           regexp_replace(role, '([<\[])(\\*)(/?(?:s>|INST\]|TURN\]|SAYS\]|ALSO\]))', '\1\2\\\3', 'g') AS role_,
+           regexp_replace(text, '([<\[])(\\*)(/?(?:s>|INST\]|TURN\]|SAYS\]|ALSO\]))', '\1\2\\\3', 'g') AS text_
+    FROM numbered),
+parts AS (
+    SELECT conv_id, i, role, text,
+           CASE WHEN role = last_role THEN '[ALSO]'
+                ELSE CASE WHEN i = 1 THEN '' ELSE '[/TURN]' END || '[TURN]' || role_ || '[SAYS]' END
+           || text_ AS part
+    FROM marked),
+whole AS (
+    SELECT conv_id, count(*) AS n_turns,
+           string_agg(role || chr(10) || text || chr(10), '' ORDER BY i) AS turns,
+           coalesce(string_agg(text, '' ORDER BY i) FILTER (WHERE role = 'assistant'), '') AS learned,
+           '<s>' || string_agg(part, '' ORDER BY i) || '[/TURN]</s>' AS formatted
+    FROM parts GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learned) AS loss_chars,
+       sha256(learned) AS loss_sha256, length(formatted) AS formatted_chars
+FROM whole"""
+
+SQL["op13_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+worded AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+    FROM pieces),
+numbers AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang),
+placed AS (
+    SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+    FROM worded, (VALUES (1), (2), (3)) sizes(k)),
+counted AS (
+    SELECT lang, k, w[i:i + k - 1] AS p, count(*) AS c
+    FROM placed GROUP BY ALL HAVING count(*) >= 10),
+candidates AS (SELECT * FROM counted WHERE k > 1),
+inside AS (
+    SELECT t.lang, t.c, u.p FROM candidates t, LATERAL (SELECT unnest([t.p[1:2], t.p[2:3]]) AS p) u
+    WHERE t.k = 3),
+kept AS (
+    SELECT * FROM candidates c WHERE NOT EXISTS (
+        SELECT 1 FROM inside x WHERE x.lang = c.lang AND x.p = c.p AND 100 * x.c >= 50 * c.c)),
+cuts AS (
+    SELECT lang, p, c AS a, p[1:j] AS lp, p[j + 1:k] AS rp, j
+    FROM (SELECT *, unnest(range(1, k)) AS j FROM kept)),
+scored AS (
+    SELECT s.lang, s.p, s.a, x.c AS l, y.c AS r, j,
+           CAST((1000000::HUGEINT * s.a * s.a) // (x.c::HUGEINT * y.c) AS BIGINT) AS score
+    FROM cuts s JOIN counted x ON x.lang = s.lang AND x.p = s.lp
+    JOIN counted y ON y.lang = s.lang AND y.p = s.rp),
+weakest AS (
+    SELECT *, array_to_string(p, ' ') AS phrase FROM scored
+    QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM weakest)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM ranked JOIN numbers USING (lang) WHERE rank <= 2000"""

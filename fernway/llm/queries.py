@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from . import langid, lines, mixing, near, pieces, quality, suffix, urls, warc, winnow
-from .common import begin, sha256
+from . import chat, langid, lines, mixing, near, periods, phrases, pieces, quality, suffix, urls, warc, winnow
+from .common import begin, bind, sha256, words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -153,3 +153,81 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix_sources(docs).drop("key", "occ")
+
+
+# Conversation -7: texts that consist of control strings.
+TRICKY = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+@query
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame(TRICKY, "conv_id long, turn long, role string, text string")
+    found = chat.format_chats(turns.unionByName(tricky)).select(
+        "conv_id",
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        F.array_join(chat.read_learned(F.col("formatted"), F.col("loss")), "").alias("learned"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+    line = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return found.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        sha256(F.array_join(line, "")).alias("turns_sha256"),
+        F.char_length("learned").cast("long").alias("loss_chars"),
+        sha256(F.col("learned")).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+def with_planted_periods(doc_id: Column, text: Column) -> Column:
+    """Every tenth text, by the checksum of its id, goes on with a period from some word on."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def planted(w: Column) -> Column:
+        n = F.size(w).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        old = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
+        return F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(w, old(i).cast("int"))), " ")
+
+    changed = bind(words(text), lambda w: F.when(F.size(w) > 0, planted(w)).otherwise(""))
+    return F.when(h % 10 == 0, changed).otherwise(text)
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", with_planted_periods(F.col("doc_id"), F.col("text")).alias("text")
+    )
+    found = periods.periodic_runs(docs)
+    # Fractions are compared by cross multiplication; runs come by start, then period.
+    best = F.aggregate(
+        "runs",
+        F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"),
+        lambda b, r: F.when(b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b),
+    )
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc.doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        sha256(F.array_join(line, "")).alias("runs_sha256"),
+        sha256(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("text", "lang")
+    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    return (
+        phrases.collocations(docs)
+        .withColumn("rank", F.row_number().over(best))
+        .where("rank <= 2000")
+        .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    )
