@@ -13,144 +13,169 @@ from .common import begin, saved, text_or_empty
 from .near import scrambled
 
 LONGEST, LEAST, INSIDE = 3, 10, 50
-SHARE = 4  # one text in so many is sampled
+SHARE = 8  # one text in so many is sampled
 SAMPLED = 2  # occurrences in the sample that make a proposal
 BITS = 26  # the filter of proposed phrases has 2**BITS bits, 8 MB, at any size of the corpus
-TOGETHER = 1 << 19  # words that are counted at once
+TOGETHER = 1 << 18  # words that are counted at once
 
 # Characters that end a piece; blank and tab part words.
 STOPS = b".,;:!?\n\x0b\x0c\r"
 _MARK = bytes.maketrans(STOPS, b"." * len(STOPS))
-COUNTS = "lang string, size int, phrase string, c long"
+# A counted phrase has a name, "words<tab>language". Its key is 0 where the filters hold it. A phrase
+# of the border has its key alone. The name "<tab>language" counts all words.
+COUNTS = "key long, name string, c long"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_ONE = np.uint64(1)
 
 
 def _word_keys(words: pa.Array) -> np.ndarray:
     return pd.util.hash_array(np.array(words.to_pylist(), dtype=object), categorize=False)
 
 
-def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Key of a phrase from that of all but its last word and that of the last."""
-    return scrambled(left * _MIX + right)
-
-
-def _places(keys: np.ndarray) -> np.ndarray:
-    return (keys >> np.uint64(64 - BITS)).astype(np.int64)
-
-
-def _filter_places(batches):
-    """Bit of every proposed phrase."""
-    for batch in batches:
-        keys = _word_keys(pc.cast(batch["lang"], pa.large_binary()))
-        words = pc.split_pattern(pc.cast(batch["phrase"], pa.large_string()), " ")
-        counts = pc.list_value_length(words).to_numpy(zero_copy_only=False)
-        flat = words.flatten().dictionary_encode()
-        own = _word_keys(pc.cast(flat.dictionary, pa.large_binary()))[flat.indices.to_numpy()]
-        first = np.cumsum(counts) - counts
-        for k in range(int(counts.max(initial=0))):
-            some = np.flatnonzero(counts > k)
-            keys[some] = _joined(keys[some], own[first[some] + k])
-        yield pa.RecordBatch.from_arrays([pa.array(_places(keys))], ["place"])
-
-
-class _Proposed:
-    """The filters as bit arrays; a phrase not proposed may pass, a proposed one always does."""
-
-    def __init__(self, filters):
-        self.bits = [np.frombuffer(f.value, np.uint8) for f in filters]
-
-    def holds(self, keys: np.ndarray) -> list[np.ndarray]:
-        at = _places(keys)
-        return [(b[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool) for b in self.bits]
-
-
-def _counted(texts: list[list[bytes]], langs: list[str], sizes: range, old, new):
-    """Occurrences of the phrases of several texts, as Arrow batches of COUNTS.
-
-    With no filter all phrases of ``sizes`` count. With filters a longer phrase counts if both its
-    parts without one end are proposed: it is proposed itself or of the negative border. Those that
-    the filter ``old`` alone would let through have been counted before.
+class _Words:
+    """Words of several texts in one row, with a mark after each piece, as numbers."""
+
+    def __init__(self, texts: list[bytes], langs: list[str]):
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
+        flat = split.flatten().dictionary_encode()
+        self.code = flat.indices.to_numpy().astype(np.int64)
+        self.words = flat.dictionary
+        named = pa.array(langs, pa.large_string()).dictionary_encode()
+        self.langs = named.dictionary
+        self.lang = np.repeat(named.indices.to_numpy().astype(np.int64), pc.list_value_length(split).to_numpy())
+        self.is_word = self.code != self.words.index(pa.scalar(".", pa.large_string())).as_py()
+        self.own = _word_keys(self.words.view(pa.large_binary()))[self.code]
+        self.start = _word_keys(self.langs.view(pa.large_binary()))[self.lang]
+
+    def keys(self, shorter: np.ndarray, size: int) -> np.ndarray:
+        """Keys of the phrases of ``size`` words that begin at each place, from those one word shorter."""
+        n = len(self.code) - size + 1
+        longer = scrambled(shorter[:n] * _MIX + self.own[size - 1 :])
+        return np.concatenate([longer, np.zeros(size - 1, np.uint64)])
+
+    def distinct(self, at: np.ndarray, size: int):
+        """One place of each different phrase among those at ``at``, and how often it is there."""
+        v, ids, top = len(self.words), self.lang[at], len(self.langs)
+        for k in range(size):
+            if top > (1 << 62) // v:
+                ids = np.unique(ids, return_inverse=True)[1]
+                top = len(at)
+            ids, top = ids * v + self.code[at + k], top * v
+        _, where, c = np.unique(ids, return_index=True, return_counts=True)
+        return at[where], c
+
+    def names(self, at: np.ndarray, size: int) -> pa.Array:
+        parts = [self.words.take(pa.array(self.code[at + k])) for k in range(size)]
+        blank, tab = (pa.scalar(x, pa.large_string()) for x in (" ", "\t"))
+        phrase = parts[0] if size == 1 else pc.binary_join_element_wise(*parts, blank)
+        return pc.binary_join_element_wise(phrase, self.langs.take(pa.array(self.lang[at])), tab)
+
+
+def _rows(key: np.ndarray | None, names: pa.Array | None, c: np.ndarray) -> pa.RecordBatch:
+    key = pa.array(np.zeros(len(c), np.int64) if key is None else key.view(np.int64))
+    names = pa.nulls(len(c), pa.string()) if names is None else names.cast(pa.string())
+    return pa.RecordBatch.from_arrays([key, names, pa.array(c, pa.int64())], ["key", "name", "c"])
+
+
+def _held(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the filter holds the keys; a phrase not proposed may pass, a proposed one always does."""
+    at = (keys >> np.uint64(64 - BITS)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _summed(keys: np.ndarray):
+    """Distinct keys and their numbers."""
+    return np.unique(keys | _ONE, return_counts=True)
+
+
+def _sampled(w: _Words, longest: int):
+    """All phrases by key."""
+    keys, at = w.start, np.flatnonzero(w.is_word)
+    for size in range(1, longest + 1):
+        keys = w.keys(keys, size)
+        found, c = _summed(keys[at])
+        yield _rows(found, None, c)
+        at = at[w.is_word[at + size]]
+
+
+def _first_pass(w: _Words, longest: int, bits: np.ndarray):
+    """Proposed phrases by name; by key those not proposed whose parts are, the negative border."""
+    keys, at = w.start, np.flatnonzero(w.is_word)
+    n = np.bincount(w.lang[at], minlength=len(w.langs))
+    yield _rows(None, pa.array(["\t" + x for x in w.langs.to_pylist()], pa.string()), n)
+    for size in range(1, longest + 1):
+        keys = w.keys(keys, size)
+        held = _held(bits, keys[at])
+        border, c = _summed(keys[at[~held]])
+        yield _rows(border, None, c)
+        at = at[held]
+        some, c = w.distinct(at, size)
+        yield _rows(None, w.names(some, size), c)
+        chain = np.zeros(len(w.code) + 1, bool)
+        chain[at] = True
+        at = at[chain[at + 1] & w.is_word[at + size]] if size < longest else at
+
+
+def _next_pass(w: _Words, longest: int, old: np.ndarray, new: np.ndarray, keyed: bool):
+    """Phrases that join the proposals or their border as the filter ``new`` comes to ``old``, by name.
+
+    Phrases that the old filter brought up were counted, by name or (``keyed``) by key. The latter
+    are counted by name now if the new filter holds them, for it was made of such that are frequent.
     """
-    flat = pa.array([w for t in texts for w in (*t, b".")], pa.large_binary()).dictionary_encode()
-    code = flat.indices.to_numpy().astype(np.int64)
-    word = code != flat.dictionary.index(pa.scalar(b".", pa.large_binary())).as_py()
-    named = pa.array(langs, pa.large_string()).dictionary_encode()
-    lang = np.repeat(named.indices.to_numpy(), [len(t) + 1 for t in texts])
-    n, v = len(code), len(flat.dictionary)
-    own = _word_keys(flat.dictionary)[code]
-    keys = _word_keys(pc.cast(named.dictionary, pa.large_binary()))[lang]
-    group = lang.astype(np.int64)
-    filters = _Proposed([f for f in (old, new) if f is not None])
-    at, before = np.flatnonzero(word), None
-    for size in range(1, max(sizes) + 1):
-        # at: first words of all phrases of this size that count, or lead to longer ones.
-        keys = np.concatenate([_joined(keys[: n - size + 1], own[size - 1 :]), np.zeros(size - 1, np.uint64)])
-        count = np.ones(len(at), bool)
-        if size > 1 and filters.bits:
-            was = [b[at] & b[at + 1] for b in before]
-            count = was[-1] & ~was[0] if new is not None else was[0]
-        if size in sizes:
-            some = at[count]
-            group_of, where, c = np.unique(group[some] * v + code[some + size - 1], return_index=True, return_counts=True)
-            first = some[where]
-            parts = [flat.dictionary.take(pa.array(code[first + k])) for k in range(size)]
-            phrase = parts[0] if size == 1 else pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary()))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pc.cast(named.dictionary.take(pa.array(lang[first])), pa.string()),
-                    pa.array(np.full(len(first), size, np.int32)),
-                    pc.cast(phrase, pa.string()),
-                    pa.array(c),
-                ],
-                ["lang", "size", "phrase", "c"],
-            )
-        if size == max(sizes):
-            return
-        if filters.bits:
-            held = filters.holds(keys[at])
-            if new is not None:
-                held[1] |= held[0]
-            before = [np.zeros(n + 1, bool) for _ in held]
-            for b, h in zip(before, held):
-                b[at] = h
-            at = at[held[-1]]
-        # Numbers of the phrases so far, so that the next word makes the next number.
-        group[at] = np.unique(group[at] * v + code[at + size - 1], return_inverse=True)[1]
-        at = at[word[at + size]]
-
-
-def _count(sizes: range, old=None, new=None):
+    keys, at = w.start, np.flatnonzero(w.is_word)
+    known = np.ones(len(at), bool)  # whether the old filter brought it up
+    for size in range(1, longest + 1):
+        keys = w.keys(keys, size)
+        was = _held(old, keys[at])
+        held = was | _held(new, keys[at])
+        count = ~known
+        if keyed:
+            count |= held & ~was
+        some, c = w.distinct(at[count], size)
+        outside = ~(_held(old, keys[some]) | _held(new, keys[some]))
+        yield _rows(np.where(outside, keys[some] | _ONE, np.uint64(0)), w.names(some, size), c)
+        if size < longest:
+            chain, before = (np.zeros(len(w.code) + 1, bool) for _ in range(2))
+            chain[at], before[at] = held, held & was & known
+            at = at[held]
+            at = at[chain[at + 1] & w.is_word[at + size]]
+            known = before[at] & before[at + 1]
+
+
+def _count(step, longest: int, *filters, **options):
+    """Arrow function that hands the texts to ``step``, some 2**18 words at a time."""
+
     def count(batches):
+        bits = [np.frombuffer(f.value, np.uint8) for f in filters]
         texts, langs, held = [], [], 0
         for batch in batches:
             for text, lang in zip(batch["text"], batch["lang"].to_pylist()):
-                # Only blanks and tabs are left of what parts bytes into words.
-                words = text.as_py().lower().translate(_MARK).replace(b".", b" . ").split()
-                texts.append(words)
+                # Only blanks and tabs are left of the white space of ASCII.
+                marked = text.as_py().lower().translate(_MARK) + b"."
+                texts.append(marked.replace(b".", b" . ").strip())
                 langs.append(lang)
-                held += len(words)
-                if held >= TOGETHER:
-                    yield from _counted(texts, langs, sizes, old, new)
+                held += len(texts[-1])
+                if held >= 6 * TOGETHER:
+                    yield from step(_Words(texts, langs), longest, *bits, **options)
                     texts, langs, held = [], [], 0
         if texts:
-            yield from _counted(texts, langs, sizes, old, new)
+            yield from step(_Words(texts, langs), longest, *bits, **options)
 
     return count
 
 
-def _filter(proposed: DataFrame):
-    """The proposed phrases as one bit array of fixed size, sent to all executors."""
-    spark = proposed.sparkSession
-    places = proposed.select("lang", "phrase").mapInArrow(_filter_places, "place long")
+def _filter(keys: DataFrame) -> bytes:
+    """The keys as one bit array of fixed size."""
+    place = F.shiftrightunsigned("key", 64 - BITS)
     rows = (
-        places.groupBy(F.shiftright("place", 15).alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
+        keys.groupBy(F.shiftright(place, 15).alias("bucket"))
+        .agg(F.bitmap_construct_agg(place.bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
         .collect()  # at most 2**(BITS - 15) rows of 4 KB
     )
     bits = bytearray(1 << BITS - 3)
     for row in rows:
         bits[row["bucket"] << 12 : (row["bucket"] + 1) << 12] = row["bits"]
-    return spark.sparkContext.broadcast(bytes(bits))
+    return bytes(bits)
 
 
 def frequent_phrases(
@@ -166,12 +191,14 @@ def frequent_phrases(
     """Exact counts of all phrases of up to ``longest`` words that occur ``least`` times in a language.
 
     Returns ``lang, size, phrase, c`` (words joined by a blank), and ``lang, n`` with the number
-    of all words. Toivonen's method: one text in ``share``, by hash, is searched for phrases, and those
+    of all words. Toivonen's method: one row in ``share`` is searched for phrases, and those
     found ``sampled`` times are proposed. One pass over all texts counts the proposed phrases and
-    their negative border: phrases not proposed whose parts all are, and all single words. If any of
-    the border turns out frequent, it joins the proposals and another pass counts what that
-    adds to the border, until none does. What the sample holds decides about work, never about results.
-    The proposals lie in a bit array of fixed size; phrases that pass it by chance are counted too.
+    their negative border: words that aren't proposed, and longer phrases that aren't but whose
+    parts are. Border phrases are many and mostly rare; they are counted by 64-bit key, which can only
+    overstate. Those that reach ``least`` join the proposals; another pass counts them by name, and what
+    they add to the border, until that brings up no frequent phrase. What the sample holds decides
+    about work, never about results. The proposals lie in a bit array of fixed size; phrases that pass
+    it by chance are counted too.
 
     Texts are lower-cased (A-Z), cut at ``.,;:!?`` and line ends into pieces, and those at blanks
     and tabs into words. Phrases don't cross pieces. Null texts are empty, null languages ``und``;
@@ -182,37 +209,38 @@ def frequent_phrases(
         text_or_empty(F.col(text)).cast("binary").alias("text"), F.coalesce(F.col(lang), F.lit("und")).alias("lang")
     )
 
-    def totals(texts: DataFrame, sizes: range, *filters) -> DataFrame:
-        found = texts.mapInArrow(_count(sizes, *filters), COUNTS)
-        return found.groupBy("lang", "size", "phrase").agg(F.sum("c").alias("c"))
-
-    sample = texts.where(F.pmod(F.xxhash64("text", "lang", F.monotonically_increasing_id()), F.lit(share)) == 0)
-    proposed = saved(totals(sample, range(1, longest)).where(F.col("c") >= sampled), "phrases-proposed")
-    old = _filter(proposed)
-    every = totals(texts, range(1, longest + 1), old)
-    # Rare words matter to the number of words only.
-    words = F.when(F.col("size") == 1, F.col("c"))
-    often = F.col("c") >= least
-    kept = saved(
-        every.groupBy("lang", "size", F.when(often, F.col("phrase")).alias("phrase")).agg(
-            F.sum("c").alias("c"), F.sum(words).alias("n")
-        ),
-        "phrases-counted",
+    def counts(step, *filters, **options) -> DataFrame:
+        """Phrases, and keys of the border, that reach ``least``, and the numbers of words."""
+        found = texts.mapInArrow(_count(step, longest, *filters, **options), COUNTS)
+        totals = found.groupBy("key", "name").agg(F.sum("c").alias("c"))
+        often = totals.where((F.col("c") >= least) | F.col("name").startswith("\t"))
+        phrase = F.substring_index("name", "\t", 1)
+        size = F.when(phrase == "", 0).otherwise(F.regexp_count(phrase, F.lit(" ")) + 1)
+        named = F.substring("name", F.char_length(phrase) + 2, F.char_length("name"))
+        return saved(
+            often.select("key", named.alias("lang"), size.alias("size"), phrase.alias("phrase"), "c"), "phrases-counted"
+        )
+
+    sample = texts.where(F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(share)) == 0)
+    proposed = (
+        sample.mapInArrow(_count(_sampled, longest), COUNTS)
+        .groupBy("key")
+        .agg(F.sum("c").alias("c"))
+        .where(F.col("c") >= sampled)
     )
-    numbers = kept.where("size = 1").groupBy("lang").agg(F.sum("n").alias("n"))
-    counted = kept.where("phrase IS NOT NULL").select("lang", "size", "phrase", "c")
-    fresh, known = counted, proposed
-    while True:
-        failed = fresh.where(F.col("size") < longest).join(known, ["lang", "size", "phrase"], "left_anti")
-        failed = saved(failed, "phrases-failed")
-        if failed.isEmpty():
-            return counted, numbers
-        new = _filter(failed)
-        more = totals(texts, range(2, longest + 1), old, new).where(often)
-        fresh = saved(more, "phrases-added")
+    old = spark.sparkContext.broadcast(_filter(proposed))
+    first = counts(_first_pass, old)
+    numbers = first.where("size = 0").select("lang", F.col("c").alias("n"))
+    counted = first.where("size > 0")
+    failed, keyed = first.where("phrase IS NULL"), True
+    while not failed.isEmpty():
+        new = spark.sparkContext.broadcast(_filter(failed))
+        fresh = counts(_next_pass, old, new, keyed=keyed)
         counted = counted.union(fresh)
-        known = known.union(failed.select(known.columns))
-        old = _filter(known)
+        failed, keyed = fresh.where((F.col("key") != 0) & (F.col("size") < longest)), False
+        both = np.frombuffer(old.value, np.uint8) | np.frombuffer(new.value, np.uint8)
+        old = spark.sparkContext.broadcast(both.tobytes())
+    return counted.select("lang", "size", "phrase", "c"), numbers
 
 
 def _part(words: Column, low, n) -> Column:
