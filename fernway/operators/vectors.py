@@ -1,10 +1,12 @@
 """Embedding text and finding nearest vectors by cosine.
 
-Joins of many queries to an index never form a cross product. Index vectors are put
+A few queries go to the index: every task scans its rows where they lie and returns the k best
+for each query. Joins of many queries to an index never form a cross product. Index vectors are put
 into cells around pivot vectors and cells into slices of bounded size; a query is sent
 only to slices that can still hold one of its k nearest, and a task returns at most k
 rows per query and slice. This follows pivot-based nearest-neighbour joins for
 MapReduce (Lu, Shen, Chen, Ooi: PVLDB 5(10), 2012), with angles as the metric.
+``ann`` has the approximate search of a stored index.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
@@ -26,10 +29,12 @@ DIGITS = 6
 SLICE_ROWS = 20_000
 QUERY_ROWS = 4_096
 SCORED_AT_ONCE = 256
-MAX_PIVOTS = 256
-# Queries on which the number of probes is measured, and the standard errors held in reserve.
-HELD_QUERIES = 256
-Z = 2.0
+# Queries up to this many, and up to this many bytes, are sent to the index rows.
+FEW_QUERIES = 4_096
+FEW_BYTES = 32 << 20
+SCANNED_AT_ONCE = 8_192
+# Pivots are the root of the number of index rows, within these bounds.
+PIVOTS = (64, 1 << 16)
 # Slack on bounds between float64 angles, far above their rounding error.
 EPSILON = 1e-6
 
@@ -60,9 +65,9 @@ def vector_top_k(
     """The ``k`` rows nearest to one query vector, with score and rank.
 
     ``where`` filters on metadata before anything is scored. The query is a constant of
-    the plan; each task keeps k rows and only those are merged.
+    the plan; each task keeps k rows and only those are merged. Rows without a vector are not found.
     """
-    rows = index if where is None else index.where(where)
+    rows = (index if where is None else index.where(where)).where(F.col(vector).isNotNull())
     target = F.array(*[F.lit(float(x)) for x in query])
     scored = rows.select(
         key, *columns, F.round(cosine(F.col(vector), target), DIGITS).alias("score")
@@ -78,13 +83,20 @@ def _unit(vectors: pd.Series) -> np.ndarray:
     return matrix / np.where(length > 0, length, 1.0)
 
 
-def choose_pivots(index: DataFrame, key: str, vector: str, n: int) -> np.ndarray:
-    """``n`` index vectors picked by hash of the key, collected; more than ``MAX_PIVOTS`` are
-    refused."""
-    if not 1 <= n <= MAX_PIVOTS:
-        raise ValueError(f"pivots must be 1 to {MAX_PIVOTS}")
-    rows = index.select(F.xxhash64(key).alias("h"), vector).orderBy("h", F.col(vector)).limit(n)
-    return _unit(pd.Series([r[1] for r in rows.collect()]))
+def sampled_vectors(index: DataFrame, key: str, vector: str, n: int, total: int, salt: int) -> list:
+    """About ``n`` of ``total`` rows by hash of the key, collected as ``(key, vector)``."""
+    grain = 1 << 40
+    part = F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(grain))
+    rows = index.where(part < math.ceil(grain * min(1.0, n / max(total, 1)))).select(key, vector)
+    return sorted(tuple(r) for r in rows.limit(2 * n).collect())
+
+
+def choose_pivots(index: DataFrame, key: str, vector: str, n: int, total: int) -> np.ndarray:
+    """About ``n`` index vectors picked by hash of the key, collected; at least one."""
+    rows = sampled_vectors(index, key, vector, n, total, 3) or [
+        tuple(r) for r in index.select(key, vector).limit(1).collect()
+    ]
+    return _unit(pd.Series([np.asarray(v, np.float64) for _, v in rows]))
 
 
 def _angles(vectors: pd.Series, pivots: np.ndarray) -> np.ndarray:
@@ -126,10 +138,13 @@ def cell_stats(cells: DataFrame) -> pd.DataFrame:
 
 def _sliced(cells: DataFrame, stats: pd.DataFrame, slice_rows: int) -> DataFrame:
     """Cut every cell into slices of about ``slice_rows`` rows by hash of the id."""
-    parts = {int(c): math.ceil(n / slice_rows) for c, n in zip(stats["cell"], stats["n"])}
-    counts = F.create_map(*[F.lit(x) for kv in parts.items() for x in kv])
-    return cells.withColumn(
-        "slice", F.pmod(F.xxhash64("id", F.lit(7)), counts[F.col("cell")]).cast("int")
+    parts = [(int(c), math.ceil(n / slice_rows)) for c, n in zip(stats["cell"], stats["n"])]
+    # One row per pivot, at most twice the upper bound of PIVOTS.
+    counts = cells.sparkSession.createDataFrame(parts, "cell int, parts int")
+    return (
+        cells.join(F.broadcast(counts), "cell")
+        .withColumn("slice", F.pmod(F.xxhash64("id", F.lit(7)), F.col("parts")).cast("int"))
+        .drop("parts")
     )
 
 
@@ -185,6 +200,90 @@ def _ranked(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+class Best:
+    """The ``k`` best ids of each of ``n`` queries so far: greatest score, then least id."""
+
+    def __init__(self, n: int, k: int):
+        self.k = k
+        self.score = np.full((n, k), -np.inf)
+        self.id = np.full((n, k), np.iinfo(np.int64).max)
+
+    def add(self, queries: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Take in the scores of some queries (rows) for some ids (columns)."""
+        least = self.score[queries, -1]
+        if len(ids) > self.k and np.isneginf(least).any():
+            least = np.maximum(least, np.partition(scores, -self.k, axis=1)[:, -self.k])
+        row, column = np.nonzero(scores >= least[:, None])
+        live = np.unique(row)
+        if not len(live):
+            return
+        at = queries[live]
+        q = np.concatenate([np.repeat(live, self.k), row])
+        s = np.concatenate([self.score[at].ravel(), scores[row, column]])
+        i = np.concatenate([self.id[at].ravel(), ids[column]])
+        order = np.lexsort((i, -s, q))
+        q, s, i = q[order], s[order], i[order]
+        # Every live query has at least k entries; the first k of each stay.
+        first = np.searchsorted(q, live)
+        take = first[:, None] + np.arange(self.k)
+        self.score[at], self.id[at] = s[take], i[take]
+
+    def rows(self, query_ids: np.ndarray) -> pa.RecordBatch:
+        row, column = np.nonzero(~np.isneginf(self.score))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (query_ids[row], self.id[row, column], self.score[row, column])],
+            ["query_id", "id", "score"],
+        )
+
+
+def matrix_of(vectors: pa.Array) -> np.ndarray:
+    """Rows of an Arrow array of equally long lists, scaled to length 1."""
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    matrix = flat.reshape(len(vectors), -1)
+    length = np.linalg.norm(matrix, axis=1, keepdims=True)
+    return matrix / np.where(length > 0, length, 1.0)
+
+
+def few_queries(queries: DataFrame, key: str, vector: str, most: int):
+    """``(ids, unit vectors)`` of the queries, sorted by id, or None if they are more than ``most``."""
+    rows = queries.select(F.col(key).cast("long"), vector).limit(most + 1).collect()
+    if len(rows) > most or sum(len(r[1]) for r in rows) * 8 > FEW_BYTES:
+        return None
+    rows = sorted(rows, key=lambda r: r[0])
+    ids = np.array([r[0] for r in rows], np.int64)
+    return ids, _unit(pd.Series([np.asarray(r[1], np.float64) for r in rows])) if rows else np.zeros((0, 1))
+
+
+def _scan_rows(sent, k: int):
+    """Arrow function: the ``k`` best index rows of a task for every query."""
+
+    def scan(batches):
+        ids, wanted = sent.value
+        best, every = Best(len(ids), k), np.arange(len(ids))
+        for batch in batches:
+            for low in range(0, batch.num_rows, SCANNED_AT_ONCE):
+                part = batch.slice(low, SCANNED_AT_ONCE)
+                matrix, own = matrix_of(part["vec"]).T, part["id"].to_numpy()
+                for start in range(0, len(ids), SCORED_AT_ONCE):
+                    some = every[start : start + SCORED_AT_ONCE]
+                    best.add(some, np.round(wanted[some] @ matrix, DIGITS), own)
+        yield best.rows(ids)
+
+    return scan
+
+
+def scan_top_k(few, index: DataFrame, key: str, vector: str, k: int) -> DataFrame:
+    """``knn_join`` for queries that ``few_queries`` returned: index rows stay in their tasks, and at
+    most ``k`` rows a query and task are exchanged."""
+    spark = index.sparkSession
+    ids, _ = few
+    if not len(ids):
+        return spark.createDataFrame([], SCHEMA + ", rank int")
+    sent = spark.sparkContext.broadcast(few)
+    rows = index.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vec"))
+    return _ranked(rows.mapInArrow(_scan_rows(sent, k), SCHEMA), k)
+
+
 def knn_join(
     queries: DataFrame,
     query_key: str,
@@ -194,21 +293,32 @@ def knn_join(
     vector: str,
     k: int,
     *,
-    probes: int | None = None,
-    pivots: int = 64,
+    pivots: int | None = None,
     slice_rows: int = SLICE_ROWS,
     query_rows: int = QUERY_ROWS,
+    few: int = FEW_QUERIES,
 ) -> DataFrame:
-    """``(query_id, id, score, rank)``: the ``k`` nearest index rows of every query.
+    """``(query_id, id, score, rank)``: the ``k`` nearest index rows of every query, exactly.
+
+    Up to ``few`` queries are sent to the index, which is scanned in place. Of more, each query first
+    visits the cells nearest to it until they hold k rows, which bounds the angle of its k-th
+    neighbour; it then visits every other cell that the triangle inequality does not rule out. There
+    are as many ``pivots`` as the root of the number of index rows, unless given.
 
-    Exact by default: each query first visits the cells nearest to it until they hold k rows,
-    which bounds the angle of its k-th neighbour; it then visits every other cell that the
-    triangle inequality does not rule out. With ``probes`` only that many nearest cells are
-    visited (approximate). Keys must be integers. A zero vector
-    counts as being at a right angle to every other, which keeps all bounds valid.
+    Keys must be integers; query keys must differ. Rows without a vector neither ask nor are found. A
+    zero vector counts as being at a right angle to every other, which keeps all bounds valid.
     """
     spark = index.sparkSession
-    centres = choose_pivots(index, key, vector, pivots)
+    queries, index = (d.where(F.col(v).isNotNull()) for d, v in ((queries, query_vector), (index, vector)))
+    asked_few = few_queries(queries, query_key, query_vector, few) if few else None
+    if asked_few is not None:
+        return scan_top_k(asked_few, index, key, vector, k)
+    total = index.count()
+    if not total:
+        return spark.createDataFrame([], SCHEMA + ", rank int")
+    if pivots is None:
+        pivots = min(max(math.isqrt(total), PIVOTS[0]), PIVOTS[1])
+    centres = choose_pivots(index, key, vector, pivots, total)
     cells = assign_cells(index, key, vector, centres)
     stats = cell_stats(cells)
     used = stats["cell"].to_numpy()
@@ -221,12 +331,10 @@ def knn_join(
     ).withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("int"))
 
     def first_cells(angles: np.ndarray) -> np.ndarray:
-        """Mask of the nearest cells: ``probes`` of them, or enough to hold k rows."""
+        """Mask of the nearest cells, enough to hold k rows."""
         order = angles.argsort(axis=1)
         held = np.cumsum(sizes[order], axis=1) - sizes[order]
         wanted = held < k
-        if probes is not None:
-            wanted |= np.arange(len(sizes))[None, :] < probes
         mask = np.zeros_like(wanted)
         np.put_along_axis(mask, order, wanted, axis=1)
         return mask
@@ -264,8 +372,6 @@ def knn_join(
         )
 
     hits = _ranked(_visit(target(first(F.col("vec")), asked), sliced, k), k).drop("rank")
-    if probes is not None:
-        return _ranked(hits, k)
     # The first pass feeds both the bound and the result; a written table computes it once
     # and survives the loss of executors.
     path = new_work_path(spark, "knn-first-pass")
@@ -279,75 +385,6 @@ def knn_join(
     return _ranked(hits.unionByName(others), k)
 
 
-def measured_probes(
-    queries: DataFrame,
-    query_key: str,
-    query_vector: str,
-    index: DataFrame,
-    key: str,
-    vector: str,
-    k: int,
-    recall: float,
-    pivots: int,
-) -> int:
-    """Fewest cells per query that find ``recall`` of the exact neighbours of a sample.
-
-    The sample is ``HELD_QUERIES`` queries by hash of the key, joined exactly. The mean over them
-    must reach ``recall`` by ``Z`` standard errors, as the other queries aren't measured.
-    """
-    spark = index.sparkSession
-    held = (
-        queries.select(F.col(query_key).cast("long").alias("query_id"), F.col(query_vector).alias("vec"))
-        .orderBy(F.xxhash64("query_id", F.lit(11)), "query_id")
-        .limit(HELD_QUERIES)
-        .collect()
-    )
-    if not held:
-        return 1
-    centres = choose_pivots(index, key, vector, pivots)
-    cells = assign_cells(index, key, vector, centres)
-    rows = [(r.query_id, [float(x) for x in r.vec]) for r in held]
-    asked = spark.createDataFrame(rows, "query_id long, vec array<double>")
-    exact = knn_join(asked, "query_id", "vec", index, key, vector, k, pivots=pivots)
-    near = cells.select("id", "cell").join(F.broadcast(exact), "id").select("query_id", "cell").toPandas()
-    used = cell_stats(cells)["cell"].to_numpy()
-    order = used[_angles(pd.Series([v for _, v in rows]), centres)[:, used].argsort(axis=1)]
-    place = {q: {c: i for i, c in enumerate(o)} for (q, _), o in zip(rows, order.tolist())}
-    near["place"] = [place[q][c] for q, c in zip(near["query_id"], near["cell"])]
-    for probes in range(1, len(used)):
-        shares = (near["place"] < probes).groupby(near["query_id"]).mean()
-        error = shares.std(ddof=0) / math.sqrt(len(shares))
-        if shares.mean() - Z * error >= recall:
-            return probes
-    return len(used)
-
-
-def ann_top_k(
-    queries: DataFrame,
-    query_key: str,
-    query_vector: str,
-    index: DataFrame,
-    key: str,
-    vector: str,
-    k: int,
-    probes: int | None = None,
-    pivots: int = 64,
-    *,
-    recall: float = 0.9,
-) -> DataFrame:
-    """Approximate ``knn_join``: only the ``probes`` cells nearest to each query are read.
-
-    Without ``probes`` their number is measured, so that ``recall`` of the neighbours are found.
-    """
-    if probes is None:
-        probes = measured_probes(
-            queries, query_key, query_vector, index, key, vector, k, recall, pivots
-        )
-    return knn_join(
-        queries, query_key, query_vector, index, key, vector, k, probes=probes, pivots=pivots
-    )
-
-
 def retrieve_context(
     neighbours: DataFrame, passages: DataFrame, key: str, text: str, separator: str = "\n\n"
 ) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import scalars, text as tx
 from ..operators import (
+    ann as an,
     assessments as ev,
     chunking as ch,
     generators as gen,
@@ -763,9 +764,9 @@ def top_k_per_query(t: Tables) -> DataFrame:
 
 @query
 def ann_top_k(t: Tables) -> DataFrame:
-    return ve.ann_top_k(
-        t.embeddings, "vec_id", "embedding", t.embeddings, "vec_id", "embedding", 3
-    )
+    path = new_work_path(t.spark, "ann-index")
+    an.build_ann_index(t.embeddings, "vec_id", "embedding", path, k=3)
+    return an.ann_search(t.embeddings, "vec_id", "embedding", path, 3)
 
 
 @query

@@ -1,7 +1,9 @@
+import re
+
 import numpy as np
 import pytest
 
-from fernway.operators import vectors as ve
+from fernway.operators import ann as an, vectors as ve
 
 SF = "/root/testdata/sf0.001"
 
@@ -37,8 +39,9 @@ def clustered(rng, n, width=8, clusters=6):
     return centres[rng.integers(clusters, size=n)] + rng.normal(size=(n, width)) * 0.05
 
 
+@pytest.mark.parametrize("few", [0, 100])
 @pytest.mark.parametrize("kind", ["clustered", "random", "copies"])
-def test_exact_join_equals_brute_force(spark, kind):
+def test_exact_join_equals_brute_force(spark, kind, few):
     rng = np.random.default_rng(5)
     index = clustered(rng, 300) if kind == "clustered" else rng.normal(size=(300, 8))
     if kind == "copies":
@@ -48,7 +51,7 @@ def test_exact_join_equals_brute_force(spark, kind):
     want = brute(queries, index, 4)
     got = ve.knn_join(
         frame(spark, queries), "id", "v", frame(spark, index), "id", "v", 4,
-        pivots=7, slice_rows=40, query_rows=10,
+        pivots=7, slice_rows=40, query_rows=10, few=few,
     )
     got = result(got)
     assert got.keys() == want.keys()
@@ -60,28 +63,81 @@ def test_exact_join_equals_brute_force(spark, kind):
 def test_fewer_rows_than_k(spark):
     index = np.eye(3)
     got = result(
-        ve.knn_join(frame(spark, index), "id", "v", frame(spark, index), "id", "v", 5, pivots=2)
+        ve.knn_join(frame(spark, index), "id", "v", frame(spark, index), "id", "v", 5, pivots=2, few=0)
     )
     assert all(len(rows) == 3 and rows[0][0] == q for q, rows in got.items())
 
 
-def test_approximate_search_finds_most(spark):
-    emb = spark.read.parquet(f"{SF}/embeddings.parquet")
-    args = (emb, "vec_id", "embedding", emb, "vec_id", "embedding", 3)
-    exact = {(r.query_id, r.id) for r in ve.knn_join(*args).collect()}
-    near = {(r.query_id, r.id) for r in ve.ann_top_k(*args).collect()}
-    assert len(exact & near) / len(exact) >= 0.8
+def shares(exact, near):
+    exact, near = ({(r.query_id, r.id) for r in d.collect()} for d in (exact, near))
+    return len(exact & near) / len(exact)
 
 
 @pytest.mark.parametrize("apart", [False, True])
-def test_approximate_search_finds_nine_tenths(spark, apart):
+def test_stored_index_finds_nine_tenths(spark, tmp_path, apart):
+    """On vectors without clusters: recall, and full vectors of at most a tenth of the rows a query."""
     emb = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     queries, index = (emb.where("vec_id % 4 = 0"), emb.where("vec_id % 4 > 0")) if apart else (emb, emb)
-    args = (queries, "vec_id", "embedding", index, "vec_id", "embedding", 3)
-    exact = {(r.query_id, r.id) for r in ve.knn_join(*args).collect()}
-    near = {(r.query_id, r.id) for r in ve.ann_top_k(*args).collect()}
-    print("recall", apart, len(exact & near) / len(exact), ve.measured_probes(*args, 0.9, 64))
-    assert len(exact & near) / len(exact) >= 0.9
+    path = str(tmp_path / "ann")
+    model = an.build_ann_index(index, "vec_id", "embedding", path, k=3)
+    assert 0 < model.shortlist * 3 <= index.count() / 10
+    exact = ve.knn_join(queries, "vec_id", "embedding", index, "vec_id", "embedding", 3)
+    assert shares(exact, an.ann_search(queries, "vec_id", "embedding", path, 3)) >= 0.9
+    many = an.ann_search(queries, "vec_id", "embedding", path, 3, few=0, slice_rows=30, query_rows=300)
+    assert shares(exact, many) >= 0.9
+    codes = spark.read.parquet(f"{path}/rows")
+    assert codes.count() == index.count()
+    assert {len(r.code) for r in codes.select("code").limit(50).collect()} == {16}
+
+
+def test_clustered_vectors_open_few_partitions(spark, tmp_path):
+    rng = np.random.default_rng(7)
+    index = frame(spark, clustered(rng, 4000, width=10, clusters=60))
+    path = str(tmp_path / "ann")
+    model = an.build_ann_index(index, "id", "v", path, k=5)
+    assert model.probes <= len(model.coarse) / 10
+    assert an.load_model(spark, path).probes == model.probes
+    queries = index.where("id % 20 = 0")
+    exact = ve.knn_join(queries, "id", "v", index, "id", "v", 5)
+    assert shares(exact, an.ann_search(queries, "id", "v", path, 5)) >= 0.9
+    # One question reads the partitions it opens and no other.
+    opened = spark.read.parquet(f"{path}/rows").where(
+        f"cell in ({','.join(str(c) for c in range(model.probes))})"
+    )
+    assert opened.count() <= index.count() / 5
+    plan = opened._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*cell", plan)
+
+
+def test_stored_index_of_awkward_vectors(spark, tmp_path):
+    rows = [(i, [1.0, 2.0, 3.0]) for i in range(40)] + [(40, [0.0, 0.0, 0.0]), (41, None), (42, [3.0, -1.0, 0.5])]
+    index = spark.createDataFrame(rows, "id long, v array<double>")
+    path = str(tmp_path / "ann")
+    an.build_ann_index(index, "id", "v", path, k=2)
+    got = result(an.ann_search(index.where("id > 38"), "id", "v", path, 2))
+    assert got.keys() == {39, 40, 42} and got[42][0] == (42, 1.0) and [s for _, s in got[39]] == [1.0, 1.0]
+    assert not result(an.ann_search(index.limit(0), "id", "v", path, 2))
+    with pytest.raises(ValueError):
+        an.build_ann_index(index.limit(0), "id", "v", str(tmp_path / "none"))
+
+
+def test_few_queries_leave_the_index_where_it_is(spark):
+    emb = spark.read.parquet(f"{SF}/embeddings.parquet").repartition(5)
+    df = ve.knn_join(emb.limit(40), "vec_id", "embedding", emb, "vec_id", "embedding", 3)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(query_id") == 1
+    assert df.count() == 120
+
+
+def test_null_vectors_neither_ask_nor_are_found(spark):
+    rows = [(1, [1.0, 0.0]), (2, None), (3, [0.5, 0.5])]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    for few in (10, 0):
+        got = result(ve.knn_join(df, "id", "v", df, "id", "v", 3, few=few))
+        assert {q: [i for i, _ in x] for q, x in got.items()} == {1: [1, 3], 3: [3, 1]}
+        assert ve.knn_join(df, "id", "v", df.limit(0), "id", "v", 3, few=few).count() == 0
+        assert ve.knn_join(df.limit(0), "id", "v", df, "id", "v", 3, few=few).count() == 0
+    assert [r.id for r in ve.vector_top_k(df, "id", "v", [1.0, 0.0], 3).collect()] == [1, 3]
 
 
 def test_single_query_with_filter_and_zero_vector(spark):
