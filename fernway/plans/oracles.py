@@ -734,7 +734,7 @@ WHERE doc_id NOT IN (SELECT doc_id FROM snapshot_new)""", "snapshot_old", "snaps
 add("stream_quality_monitor", f"""
 SELECT strftime(date_trunc('day', ts), {SECONDS}) AS window_start, event_type, count(*) AS n,
        CAST(sum(floor(value * 100)) AS BIGINT) AS value_cents,
-       count(*) FILTER (value > 5) AS n_slow
+       count(*) FILTER (value > 5) AS n_slow, CAST(0 AS BIGINT) AS n_late
 FROM events GROUP BY 1, 2""")
 
 # Spark counts ranks, array lengths and hits in 32 bits; the SQL says so for equal types.

@@ -112,8 +112,26 @@ def test_monitor_counts_events_of_any_order(spark):
     for i in range(0, len(rows), 350):
         part = spark.createDataFrame(rows[i : i + 350], events.schema)
         part.coalesce(1).write.mode("append").parquet(inbox)
-    got = stream_quality_monitor(spark, inbox, events.schema, out, files_per_batch=1)
-    assert got.agg(F.sum("n")).first()[0] == len(rows)
+    got = stream_quality_monitor(spark, inbox, events.schema, out, files_per_batch=1, late="1 day")
+    n, late = got.agg(F.sum("n"), F.sum("n_late")).first()
+    assert n + late == len(rows) and late > 0
+    # Where nothing counts as late, the order of the files doesn't matter.
+    slow = stream_quality_monitor(
+        spark, inbox, events.schema, new_work_path(spark, "monitor"), files_per_batch=1, late="4000 days"
+    )
+    want = windowed_quality(events.withColumn("ts", F.col("ts").cast("timestamp")))
+    assert slow.select(want.columns).exceptAll(want).isEmpty() and slow.count() == want.count()
+    assert slow.agg(F.sum("n_late")).first()[0] == 0
+
+
+def test_monitor_reads_one_file_and_not_its_neighbours(spark, tmp_path):
+    import shutil
+
+    for name in ("events.parquet", "events.parquet_old", "events.parquet2"):
+        shutil.copy("/root/testdata/sf0.001/events.parquet", tmp_path / name)
+    events = spark.read.parquet(str(tmp_path / "events.parquet"))
+    got = stream_quality_monitor(spark, str(tmp_path / "events.parquet"), events.schema, new_work_path(spark, "monitor"))
+    assert got.agg(F.sum("n")).first()[0] == events.where("ts IS NOT NULL").count()
 
 
 def test_latest_file_of_a_batch_wins(spark):

@@ -177,3 +177,21 @@ def test_scalars_and_registered_functions(spark):
         scalars.in_set(F.lit(None), ["a"]),
     ).first()
     assert tuple(row) == ("ann_007", None, False)
+
+
+def test_digest_trees_leave_equal_buckets_out(spark):
+    rows = [(i, f"text {i}", None if i % 9 == 0 else i) for i in range(3000)]
+    later = [(i, "changed" if i == 77 else t, 5 if i == 90 else v) for i, t, v in rows if i != 2500] + [(9001, "new", 1)]
+    shape = "id long, t string, v long"
+    old, new = spark.createDataFrame(rows, shape), spark.createDataFrame(later[::-1], shape)
+    trees = [changes.digest_tree(d, "id", ["t", "v"], 1 << 12) for d in (old, new)]
+    differ = {r.bucket for r in changes.unequal_buckets(*trees).collect()}
+    touched = spark.createDataFrame([(i,) for i in (77, 90, 2500, 9001)], "id long")
+    assert differ == {r[0] for r in touched.select(F.pmod(F.xxhash64("id"), F.lit(1 << 12))).collect()}
+    want = {(77, "update"), (90, "update"), (2500, "delete"), (9001, "insert")}
+    given = {"old_tree": trees[0], "new_tree": trees[1]}
+    for trees in ({}, given):
+        got = changes.table_snapshot_changes(old, new, "id", ["t", "v"], buckets=1 << 12, **trees)
+        assert {(r.id, r.change) for r in got.collect()} == want
+    assert changes.table_snapshot_changes(old, old, "id", ["t", "v"]).isEmpty()
+    assert changes.table_snapshot_changes(old.limit(0), old, "id", ["t"]).count() == 3000
