@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import packed, saved
+from .common import bind, packed, saved
 
 ERA_DAYS = 32
 # Fixed value: scheme, optional user part, host.
 HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
-MAX_LABELS = 127  # of a host name, by its definition
 
 
 def host_of(url: Column) -> Column:
@@ -18,15 +17,16 @@ def host_of(url: Column) -> Column:
     return F.regexp_replace(host, r"\.+$", "")
 
 
-def parents(host: Column) -> Column:
-    """The host and all domains above it that have two labels or more."""
-    labels = F.slice(F.split(host, r"\."), -MAX_LABELS, MAX_LABELS)
-    labels = F.when(F.size(F.split(host, r"\.")) > MAX_LABELS, labels).otherwise(
-        F.split(host, r"\.")
-    )
-    starts = F.sequence(F.lit(0), F.greatest(F.size(labels) - 2, F.lit(0)))
-    return F.transform(
-        starts, lambda i: F.array_join(F.slice(labels, i + 1, F.size(labels) - i), ".")
+def parents(host: Column, most: int | None = None) -> Column:
+    """The host and all domains above it that have two labels or more, and ``most`` at most."""
+    labels = F.split(host, r"\.")
+    last = F.greatest(F.size(labels) - 2, F.lit(0))
+    first = F.lit(0) if most is None else F.least(F.greatest(F.size(labels) - most, F.lit(0)), last)
+    return bind(
+        labels,
+        lambda own: F.transform(
+            F.sequence(first, last), lambda i: F.array_join(F.slice(own, i + 1, F.size(own) - i), ".")
+        ),
     )
 
 
@@ -63,7 +63,9 @@ def filter_urls(
     Verdicts are made per host and day, not per capture, after partial sums, so a host of very
     many captures is one row per day. Intervals are cut at eras of 32 days; host-days meet
     them by pattern and era and compare days within it. Captures then meet verdicts by host
-    and day. A null URL or one without a host, or a null day, is not listed.
+    and day. A null URL or one without a host, or a null day, is not listed. Domains of more labels than
+    any listed one are left out from the start, so a host of very many labels makes few rows. Repeated
+    captures each get their verdict; without captures there are no rows, without entries nothing is listed.
     """
     source = packed(captures).select(
         "doc",
@@ -85,8 +87,9 @@ def filter_urls(
         ),
         "url-spans",
     )
+    most = cut.agg(F.max(F.size(F.split("pattern", r"\.")))).first()[0]
     asked = days.withColumn("_era", era(F.col("_day"))).withColumn(
-        "pattern", F.explode(parents(F.col("host")))
+        "pattern", F.explode(parents(F.col("host"), most or 1))
     )
     found = (
         asked.join(cut, ["pattern", "_era"])
