@@ -20,7 +20,7 @@ DATE = "2024-01-01T00:00:00Z"
 RECORDS_PER_FILE = 2000
 CANDIDATE = (
     "path string, block long, rel long, size long, head int, length long, record_type string, "
-    "page_id long, refers_to long, digest string, whole boolean, payload binary"
+    "page_id long, refers_to long, digest string, named string, whole boolean, payload binary"
 )
 
 
@@ -134,7 +134,7 @@ def _candidates(batches):
             at[path, block] = rel + len(piece) + len(MAGIC)
             head = parse_head(piece)
             if head is None:
-                rows.append((path, block, rel, len(piece), None, None, None, None, None, None, False, None))
+                rows.append((path, block, rel, len(piece), *[None] * 7, False, None))
                 continue
             start, length, f = head
             body = piece[start : start + length]
@@ -143,7 +143,8 @@ def _candidates(batches):
                 (
                     path, block, rel, len(piece), start, length, f.get(b"warc-type"),
                     _page(f.get(b"warc-record-id")), _page(f.get(b"warc-refers-to")),
-                    sha(body).hexdigest() if whole else None, whole, None,
+                    sha(body).hexdigest() if whole else None,
+                    f.get(b"warc-payload-digest", "").removeprefix("sha256:"), whole, None,
                 )
             )
         out = pd.DataFrame(rows, columns=[c.split()[0] for c in CANDIDATE.split(", ")])
@@ -190,8 +191,9 @@ def reachable(records: DataFrame) -> DataFrame:
 
 
 def read_warc(spark, path: str) -> DataFrame:
-    """Records of all archives below ``path``: ``path, offset, record_type, page_id, refers_to,
-    payload_bytes, payload_digest`` (of the payload that the record itself has).
+    """Records of all archives below ``path``: ``path, offset, record_type, page_id, refers_to, named,
+    payload_bytes, payload_digest``; ``named`` is the digest that the header states, the last two are
+    those of the payload that the record itself has.
 
     Files are split at every magic, wherever a task's part begins. Pieces of a split fill it
     without gaps, so a split's place in its file is the sum of the splits before. Each piece with
@@ -222,7 +224,7 @@ def read_warc(spark, path: str) -> DataFrame:
         records.join(reachable(records), ["path", "offset"], "left_semi"), "warc-records"
     )
     simple = real.where("whole").select(
-        "path", "offset", "record_type", "page_id", "refers_to",
+        "path", "offset", "record_type", "page_id", "refers_to", "named",
         F.col("length").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
     )
     cut = real.where("NOT whole")
@@ -263,28 +265,34 @@ def read_warc(spark, path: str) -> DataFrame:
     )
     body = F.substring(joined, F.col("head") + 1, F.col("length").cast("int"))
     complete = cut.join(whole, ["path", "offset"]).select(
-        "path", "offset", "record_type", "page_id", "refers_to",
+        "path", "offset", "record_type", "page_id", "refers_to", "named",
         F.col("length").alias("payload_bytes"), F.sha2(body, 256).alias("payload_digest"),
     )
     return simple.union(complete)
 
 
 def resolved(records: DataFrame) -> DataFrame:
-    """Records with the payload size and digest of the response that a revisit names."""
+    """Records with the payload size and digest of the response that a revisit names.
+
+    A revisit names an id and, in its own header, the digest of the payload. Both must agree with the
+    response, so ids that several payloads share don't mix them up.
+    """
     records = saved(records, "warc-read")
-    asked = records.where("refers_to IS NOT NULL").select("refers_to").distinct()
+    asked = records.where("refers_to IS NOT NULL").select("refers_to", "named").distinct()
+    responses = records.where("record_type = 'response'").select(
+        F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("named"), "payload_bytes"
+    )
     payloads = saved(
-        records.where("record_type = 'response'")
-        .join(asked.withColumnRenamed("refers_to", "page_id"), "page_id", "left_semi")
-        .groupBy("page_id")
-        .agg(F.max("payload_bytes").alias("_bytes"), F.max("payload_digest").alias("_digest")),
+        responses.join(asked, ["refers_to", "named"], "left_semi")
+        .groupBy("refers_to", "named")
+        .agg(F.max("payload_bytes").alias("_bytes")),
         "warc-payloads",
     )
-    named = payloads.withColumnRenamed("page_id", "refers_to")
-    return lookup_join(records, named, ["refers_to"], "left").select(
+    found = F.col("_bytes").isNotNull()
+    return lookup_join(records, payloads, ["refers_to", "named"], "left").select(
         "page_id",
         F.coalesce("_bytes", "payload_bytes").alias("payload_bytes"),
-        F.coalesce("_digest", "payload_digest").alias("payload_digest"),
+        F.when(found, F.col("named")).otherwise(F.col("payload_digest")).alias("payload_digest"),
         "record_type",
         "refers_to",
     )

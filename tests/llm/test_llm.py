@@ -219,6 +219,32 @@ def test_urls(spark):
                    5: (True, "a.b.example.org", 8), 6: none}
 
 
+def test_urls_of_many_labels_and_awkward_tables(spark):
+    deep = ".".join(f"l{i}" for i in range(132)) + ".org"
+    long = "a." * 300 + "com"
+    rows = [(1, f"http://{deep}/p", 10, "x"), (2, f"http://www.{deep}/", 10, "x"), (3, f"http://{long}/" + "q" * 9000, 10, "x"),
+            (1, f"http://{deep}/p", 10, "x"), (4, "http://com", 10, "x"), (None, "http://h", 10, "x")]
+    captures = spark.createDataFrame(rows, "page_id long, url string, fetch_day int, pattern string")
+    entries = spark.createDataFrame([(deep, 1, "add"), ("a.com", 2, "add"), (deep, 1, "add"), ("h", 3, "add")],
+                                    "pattern string, day int, action string")
+    got = urls.filter_urls(captures, entries).collect()
+    assert len(got) == len(rows)
+    assert {(r.doc.page_id, r.matched, r.since) for r in got} == {
+        (1, deep, 1), (2, deep, 1), (3, "a.com", 2), (4, None, None), (None, "h", 3)}
+    assert urls.filter_urls(captures.limit(0), entries).count() == 0
+    assert not any(r.listed for r in urls.filter_urls(captures, entries.limit(0)).collect())
+
+
+def test_warc_ids_with_several_payloads(spark):
+    a, b = "A" * 150, "B" * 300
+    pages = [(5, "u", a, 1), (5, "u", b, 1), (7, "u", a, 1), (8, "u", b, 1), (5, "u", a, 1), (9, "u", b, 1)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string, refers_to int")
+    got = sorted(tuple(r) for r in warc.round_trip(df).fillna(-1, ["refers_to"]).collect())
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    want = [(i, len(x), sha(x), "response" if i == 5 else "revisit", -1 if i == 5 else 5) for i, _, x, _ in pages]
+    assert got == sorted(want)
+
+
 def test_winnow(spark, docs, monkeypatch):
     some = docs.where("doc_id <> 4 AND doc_id IS NOT NULL")
     ids = sorted(((r.doc_id, r.text or "") for r in some.collect()), reverse=True)
