@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, IndexToString, RegexTokenizer, StringIndexer
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from ..functions.joins import lookup_join
+from ..functions.text import terms
+from ..session import stored
 
 BatchModel = Callable[[pd.Series], pd.Series]
 
@@ -52,29 +55,58 @@ def parse_typed_output(df: DataFrame, raw: str, schema: T.StructType) -> DataFra
     return rows.drop("_p")
 
 
-def train_classifier(
-    train: DataFrame, text: str, label: str, features: int = 1 << 14
-) -> PipelineModel:
-    """Text to one of n labels: hashed words and logistic regression."""
-    stages = [
-        RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"[^\p{L}\p{N}]+"),
-        HashingTF(inputCol="_words", outputCol="_features", numFeatures=features),
-        StringIndexer(
-            inputCol=label, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="keep"
-        ),
-        LogisticRegression(
-            featuresCol="_features", labelCol="_label", predictionCol="_index", maxIter=20,
-            regParam=0.01,
-        ),
-    ]
-    fitted = Pipeline(stages=stages).fit(train)
-    names = IndexToString(
-        inputCol="_index", outputCol="prediction", labels=[*fitted.stages[2].labels, "other"]
-    )
-    return PipelineModel([*fitted.stages, names])
-
-
-def classify(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Add column ``prediction``."""
-    out = model.transform(df)
-    return out.select(*df.columns, "prediction")
+MICRO = 1_000_000  # log probabilities are whole millionths, so that sums are exact in any order
+
+
+@dataclass(frozen=True)
+class NaiveBayes:
+    """Labels in order, their log priors, and for each known term one log probability a label."""
+
+    labels: list[str]
+    priors: list[int]
+    terms: DataFrame
+
+
+def _micro_log(ratio: Column) -> Column:
+    return F.round(F.log(ratio) * MICRO).cast("long")
+
+
+def train_classifier(train: DataFrame, text: str, label: str) -> NaiveBayes:
+    """Multinomial naive Bayes from counts of words, with one added to each.
+
+    ``train`` is meant to be a bounded sample per label; rows without a label are left out. Labels and
+    their totals reach the driver, terms don't.
+    """
+    rows = train.where(F.col(label).isNotNull())
+    shares = sorted(rows.groupBy(label).count().collect())
+    labels, total = [r[0] for r in shares], sum(r[1] for r in shares)
+    tokens = rows.select(F.col(label).alias("_label"), F.explode(terms(F.col(text))).alias("term"))
+    counted = stored(tokens.groupBy("_label", "term").count(), "term-labels")
+    sizes = dict(counted.groupBy("_label").agg(F.sum("count")).collect())
+    n_terms = counted.select("term").distinct().count()
+    of_label = [F.coalesce(F.sum(F.when(F.col("_label") == x, F.col("count"))), F.lit(0)) for x in labels]
+    logs = [_micro_log((c + 1) / F.lit(float(sizes.get(x, 0) + n_terms))) for c, x in zip(of_label, labels)]
+    weights = counted.groupBy("term").agg(F.array(*logs).alias("_weights")) if labels else None
+    priors = [round(math.log(n / total) * MICRO) for _, n in shares]
+    return NaiveBayes(labels, priors, weights and stored(weights, "term-weights"))
+
+
+def classify(model: NaiveBayes, df: DataFrame, key: str, text: str) -> DataFrame:
+    """Add column ``prediction``: the label of the greatest posterior, ties to the first in order.
+
+    Terms are counted per row before they meet the model; unknown ones say nothing, so a text without a
+    known term gets the most frequent label. Keys must differ. A model without labels predicts NULL.
+    """
+    if not model.labels:
+        return df.withColumn("prediction", F.lit(None).cast("string"))
+    counted = df.select(key, F.explode(terms(F.col(text))).alias("term")).groupBy(key, "term").count()
+    known = lookup_join(counted, model.terms, ["term"], "inner")
+    sums = [F.sum(F.col("count") * F.get("_weights", F.lit(i))) for i in range(len(model.labels))]
+    scored = df.join(known.groupBy(key).agg(F.array(*sums).alias("_sums")), key, "left")
+    posterior = [F.coalesce(F.get("_sums", F.lit(i)), F.lit(0)) + p for i, p in enumerate(model.priors)]
+    # The greatest score, then the first label: the later ones have lower second parts.
+    best = F.greatest(*[F.struct(s.alias("s"), F.lit(-i).alias("i")) for i, s in enumerate(posterior)]) if len(
+        posterior
+    ) > 1 else F.struct(posterior[0].alias("s"), F.lit(0).alias("i"))
+    named = F.get(F.array(*[F.lit(x) for x in model.labels]), -best["i"])
+    return scored.withColumn("prediction", named).drop("_sums")

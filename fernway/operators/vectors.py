@@ -13,16 +13,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.text import terms
+from ..functions.text import bind, terms
 from ..session import new_work_path
 
 DIGITS = 6
@@ -405,26 +403,59 @@ def retrieve_context(
     )
 
 
-def _with_words(docs: DataFrame, text: str) -> DataFrame:
-    return docs.withColumn("_words", F.coalesce(terms(F.col(text)), F.array().cast("array<string>")))
+@dataclass(frozen=True)
+class Embedder:
+    """Inverse document frequency of each slot that words are hashed to."""
 
+    idf: tuple[float, ...]
 
-def fit_embedder(docs: DataFrame, text: str, width: int = 256) -> PipelineModel:
-    """Hashed words weighted by inverse document frequency, scaled to length 1."""
-    return Pipeline(
-        stages=[
-            HashingTF(inputCol="_words", outputCol="_tf", numFeatures=width),
-            IDF(inputCol="_tf", outputCol="_tfidf"),
-            Normalizer(inputCol="_tfidf", outputCol="_unit"),
-        ]
-    ).fit(_with_words(docs, text).select("_words"))
 
+def _signed_slots(text: Column, width: int) -> Column:
+    """Twice the slot of each word, plus 1 where the word counts negatively; from its MD5."""
+    digests = F.transform(F.coalesce(terms(text), F.array().cast("array<string>")), F.md5)
 
-def embed_text(
-    model: PipelineModel, docs: DataFrame, text: str = "text", output: str = "embedding"
-) -> DataFrame:
-    """Add the embedding as ``array<float>``. Texts without a word give zeros."""
-    out = model.transform(_with_words(docs, text))
-    return out.withColumn(output, vector_to_array("_unit", "float32")).drop(
-        "_words", "_tf", "_tfidf", "_unit"
-    )
+    def code(h: Column) -> Column:
+        slot = F.conv(F.left(h, F.lit(7)), 16, 10).cast("int") % width
+        return slot * 2 + (F.substring(h, 8, 1) >= "8").cast("int")
+
+    return F.transform(digests, code)
+
+
+def _slot_sums(codes: Column, width: int) -> Column:
+    """Signed numbers of words by slot, as an array of ``width``."""
+    shape = "struct<slot:int,value:int,out:array<int>>"
+    start = F.struct(F.lit(0).alias("slot"), F.lit(0).alias("value"), F.array().cast("array<int>").alias("out"))
+
+    def upto(state: Column, slot: Column) -> Column:
+        """The sums of all slots before ``slot``."""
+        return F.concat(state["out"], F.array(state["value"]), F.array_repeat(F.lit(0), slot - state["slot"] - 1))
+
+    def add(state: Column, code: Column) -> Column:
+        slot, sign = F.shiftright(code, 1), 1 - 2 * (code % 2)
+        same = F.struct(state["slot"].alias("slot"), (state["value"] + sign).alias("value"), state["out"].alias("out"))
+        later = F.struct(slot.alias("slot"), sign.alias("value"), upto(state, slot).alias("out"))
+        return F.when(slot == state["slot"], same.cast(shape)).otherwise(later.cast(shape))
+
+    return F.aggregate(F.array_sort(codes), start.cast(shape), add, lambda state: upto(state, F.lit(width)))
+
+
+def fit_embedder(docs: DataFrame, text: str, width: int = 256) -> Embedder:
+    """Count the documents that have a word in each slot; ``width`` numbers reach the driver."""
+    slots = F.array_distinct(F.transform(_signed_slots(F.col(text), width), lambda c: F.shiftright(c, 1)))
+    held = dict(docs.select(F.explode(slots).alias("slot")).groupBy("slot").count().collect())
+    total = docs.count()
+    return Embedder(tuple(math.log((total + 1) / (held.get(i, 0) + 1)) for i in range(width)))
+
+
+def embed_text(model: Embedder, docs: DataFrame, text: str = "text", output: str = "embedding") -> DataFrame:
+    """Add the embedding as ``array<float>``: signed hashed words, weighted by inverse document
+    frequency and scaled to length 1. All in expressions of one row; texts without a word give zeros."""
+    idf, width = F.array(*[F.lit(x) for x in model.idf]), len(model.idf)
+    sums = _slot_sums(_signed_slots(F.col(text), width), width)
+    weighted = F.zip_with(sums, idf, lambda c, w: c * w)
+
+    def scaled(x: Column) -> Column:
+        squares = F.aggregate(x, F.lit(0.0), lambda acc, v: acc + v * v)
+        return bind(squares, lambda n: F.transform(x, lambda v: F.when(n > 0, v / F.sqrt(n)).otherwise(0.0).cast("float")))
+
+    return docs.withColumn(output, bind(weighted, scaled))

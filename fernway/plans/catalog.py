@@ -727,11 +727,10 @@ def union_documents(t: Tables) -> DataFrame:
 def embed_text(t: Tables) -> DataFrame:
     model = ve.fit_embedder(t.documents.select("text"), "text")
     embedded = ve.embed_text(model, t.documents.select("doc_id", "text"))
-    return embedded.select(
-        "doc_id",
-        F.size("embedding").alias("width"),
-        F.round(F.sqrt(ve.dot(F.col("embedding"), F.col("embedding"))), 4).alias("length"),
-    )
+    slots = embedded.select("doc_id", F.posexplode("embedding").alias("slot", "x"))
+    return slots.select(
+        "doc_id", "slot", F.round(F.col("x").cast("double") * 1_000_000).cast("long").alias("millionths")
+    ).where("millionths <> 0")
 
 
 @query
@@ -848,12 +847,12 @@ def parse_typed_output(t: Tables) -> DataFrame:
 
 @query
 def text_classifier(t: Tables) -> DataFrame:
-    rows = t.documents.select("doc_id", "text").join(labelled(t), "doc_id")
-    # Ids are sampled before their texts are fetched.
+    # Ids are sampled before their texts are fetched; what isn't in the sample is predicted.
     split = sa.train_test_split(labelled(t), "label", "doc_id", 40, 40).where("split = 'train'")
-    train = split.join(t.documents.select("doc_id", "text"), "doc_id")
-    model = pr.train_classifier(train, "text", "label")
-    return pr.classify(model, rows).select("doc_id", "label", "prediction")
+    texts = t.documents.select("doc_id", "text")
+    model = pr.train_classifier(split.join(texts, "doc_id"), "text", "label")
+    held_out = texts.join(labelled(t).join(split, "doc_id", "left_anti"), "doc_id")
+    return pr.classify(model, held_out, "doc_id", "text").select("doc_id", "label", "prediction")
 
 
 @query

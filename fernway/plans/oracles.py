@@ -523,8 +523,90 @@ SELECT n.doc_id AS id, sha256(n.text) AS text_hash,
 FROM snapshot_new n LEFT JOIN snapshot_old o ON n.doc_id = o.doc_id""",
     "snapshot_old", "snapshot_new")
 
+EMBEDDED = f"""
+signed AS (
+    SELECT 'd' AS kind, doc_id AS id, md5(unnest({tokens('text')})) AS h FROM documents
+    UNION ALL SELECT 'q', item_id, md5(unnest({tokens('text')})) FROM benchmark),
+slotted AS (
+    SELECT kind, id, CAST(('0x' || left(h, 7))::INT % 256 AS INT) AS slot,
+           sum(CASE WHEN substr(h, 8, 1) < '8' THEN 1 ELSE -1 END) AS c
+    FROM signed GROUP BY ALL),
+idf AS (
+    SELECT slot, ln(((SELECT count(*) FROM documents) + 1.0::DOUBLE) / (count(*) + 1.0::DOUBLE)) AS w
+    FROM slotted WHERE kind = 'd' GROUP BY slot),
+weighed AS (SELECT kind, id, slot, c * w AS x FROM slotted JOIN idf USING (slot)),
+unit AS (
+    SELECT kind, id, slot, CAST(x / sqrt(n) AS FLOAT) AS x
+    FROM weighed JOIN (SELECT kind, id, sum(x * x) AS n FROM weighed GROUP BY ALL) USING (kind, id)
+    WHERE n > 0)"""
+add("embed_text", f"""WITH {EMBEDDED}
+SELECT id AS doc_id, slot, CAST(round(x::DOUBLE * 1000000) AS BIGINT) AS millionths
+FROM unit WHERE kind = 'd' AND round(x::DOUBLE * 1000000) <> 0""")
+add("lookup_then_retrieve", f"""WITH {EMBEDDED},
+lengths AS (SELECT kind, id, sqrt(sum(x::DOUBLE * x::DOUBLE)) AS n FROM unit GROUP BY ALL),
+dots AS (
+    SELECT q.id AS item_id, d.id AS doc_id, sum(q.x::DOUBLE * d.x::DOUBLE) AS dot
+    FROM unit q JOIN unit d ON q.slot = d.slot AND q.kind = 'q' AND d.kind = 'd' GROUP BY ALL),
+scored AS (
+    SELECT item_id, doc_id, round(dot / a.n / b.n, 6) AS score
+    FROM dots JOIN lengths a ON a.kind = 'q' AND a.id = item_id
+    JOIN lengths b ON b.kind = 'd' AND b.id = doc_id),
+near AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+    FROM scored QUALIFY rank <= 3),
+context AS (
+    SELECT item_id, count(*) AS n_passages, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context
+    FROM near JOIN documents USING (doc_id) GROUP BY 1),
+t AS (SELECT item_id, unnest({tokens('text')}) AS term FROM benchmark),
+c AS (SELECT item_id, term, count(*) AS tf FROM t GROUP BY 1, 2),
+f AS (SELECT term, count(*) AS df FROM c GROUP BY 1),
+w AS (SELECT c.item_id, c.term, round(c.tf * ln(((SELECT count(*) FROM benchmark) + 1.0::DOUBLE)
+                                               / (f.df + 1.0::DOUBLE)), 6) AS weight
+      FROM c JOIN f ON c.term = f.term),
+words AS (
+    SELECT item_id, string_agg(term, ' ' ORDER BY rank) AS keywords FROM (
+        SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY weight DESC, term) AS rank FROM w)
+    WHERE rank <= 5 GROUP BY 1),
+found AS (
+    SELECT b.item_id, CASE WHEN c_custkey IS NOT NULL
+           THEN concat_ws(' is insured by ', c_name, c_mktsegment) END AS answer
+    FROM benchmark b LEFT JOIN customer ON c_custkey = b.item_id)
+SELECT item_id, answer, keywords, n_passages, context,
+       concat_ws(chr(10), answer, 'Keywords: ' || keywords, context) AS report
+FROM found LEFT JOIN words USING (item_id) LEFT JOIN context USING (item_id)""")
+
 # Models and scores
 
+add("text_classifier", f"""WITH {SAMPLE},
+train AS (SELECT doc_id, label FROM ranked WHERE sample_rank <= 40),
+shares AS (SELECT label, count(*) AS n FROM train GROUP BY 1),
+counted AS (
+    SELECT label, term, count(*) AS c
+    FROM (SELECT label, unnest({tokens('text')}) AS term FROM train JOIN documents USING (doc_id))
+    GROUP BY ALL),
+sizes AS (SELECT label, sum(c) AS n FROM counted GROUP BY 1),
+vocabulary AS (SELECT DISTINCT term FROM counted),
+weights AS (
+    SELECT v.term, s.label, CAST(round(ln((coalesce(c.c, 0) + 1)::DOUBLE
+           / (coalesce(z.n, 0) + (SELECT count(*) FROM vocabulary))::DOUBLE) * 1000000) AS BIGINT) AS w
+    FROM vocabulary v CROSS JOIN shares s LEFT JOIN sizes z ON z.label = s.label
+    LEFT JOIN counted c ON c.term = v.term AND c.label = s.label),
+rest AS (
+    SELECT doc_id, concat_ws('-', quality, toxic) AS label FROM labels
+    WHERE doc_id NOT IN (SELECT doc_id FROM train)),
+used AS (
+    SELECT doc_id, term, count(*) AS tf
+    FROM (SELECT doc_id, unnest({tokens('text')}) AS term FROM rest JOIN documents USING (doc_id))
+    GROUP BY ALL),
+sums AS (SELECT doc_id, label, sum(tf * w) AS s FROM used JOIN weights USING (term) GROUP BY ALL),
+posterior AS (
+    SELECT r.doc_id, r.label, s.label AS prediction, coalesce(x.s, 0)
+           + round(ln(s.n / (SELECT sum(n) FROM shares)) * 1000000) AS score
+    FROM rest r JOIN documents USING (doc_id) CROSS JOIN shares s
+    LEFT JOIN sums x ON x.doc_id = r.doc_id AND x.label = s.label)
+SELECT doc_id, label, prediction FROM posterior
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, prediction) = 1""")
+
 add("batch_predict", """
 SELECT doc_id, concat(length(text), ':', length(text) - length(replace(text, ' ', '')))
        AS prediction

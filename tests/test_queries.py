@@ -10,10 +10,7 @@ SF = "/root/testdata/sf0.001"
 WITHOUT_SQL = {
     "recursive_chunk",
     "structural_chunk",
-    "embed_text",
     "ann_top_k",
-    "lookup_then_retrieve",
-    "text_classifier",
 }
 
 

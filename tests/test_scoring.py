@@ -133,9 +133,14 @@ def test_typed_output_flags_bad_rows(spark):
 
 def test_classifier_learns_separable_classes(spark):
     rows = [(f"{'cat purr' if i % 2 else 'dog bark'} w{i}", "cat" if i % 2 else "dog") for i in range(40)]
-    df = one(spark, "text string, label string", *rows)
-    model = pr.train_classifier(df, "text", "label", 1024)
-    assert pr.classify(model, df).where("label = prediction").count() == 40
+    rows = [(i, *r) for i, r in enumerate(rows)] + [(50, None, "cat"), (51, "...", "dog"), (52, "bark", None)]
+    df = one(spark, "id int, text string, label string", *rows)
+    model = pr.train_classifier(df.where("id % 4 < 2 OR id > 40"), "text", "label")
+    got = pr.classify(model, df, "id", "text")
+    assert got.where("id < 40 AND label = prediction").count() == 40
+    # A tie of the priors goes to the first label; unknown words say nothing.
+    assert {r.id: r.prediction for r in got.where("id >= 50").collect()} == {50: "cat", 51: "cat", 52: "dog"}
+    assert pr.classify(pr.train_classifier(df.limit(0), "text", "label"), df, "id", "text").count() == 43
 
 
 def test_language_by_stop_words(spark):
