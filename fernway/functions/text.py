@@ -44,6 +44,8 @@ def literal_map(pairs: dict) -> Column:
 
 def weighted_hits(text: Column, weights: dict[str, int]) -> Column:
     """Sum of the weights of all listed terms in the text; no shuffle."""
+    if not weights:
+        return F.lit(0)
     table, listed = literal_map(weights), list(weights)
     return F.aggregate(
         F.filter(terms(text), lambda t: t.isin(listed)),

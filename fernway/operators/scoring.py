@@ -92,6 +92,37 @@ def score_rationale(response: Column, max_words: int = 60) -> Column:
     return yes_no((F.size(parts) == 2) & (word_count(reason) <= max_words))
 
 
+def learned_terms(
+    train: DataFrame, text: str, flag: str, least: float = 20.0, most: int = 1_000
+) -> list[tuple[str, float]]:
+    """Terms that flagged texts hold more often than others, with their log-odds, strongest evidence
+    first.
+
+    Texts are counted, not uses. The evidence is the log-likelihood ratio of the two by two counts (Dunning:
+    Computational Linguistics 19(1), 1993), which stays sound for rare terms; a term counts from
+    ``least`` on, and the ``most`` with the greatest evidence reach the driver. Learn on a train split and
+    judge on other rows: a low bound finds many terms by chance. ``flag`` is 0 or 1; rows without it
+    are left out.
+    """
+    rows = train.where(F.col(flag).isNotNull())
+    n, flagged = rows.agg(F.count("*"), F.coalesce(F.sum(flag), F.lit(0))).first()
+    seen = rows.select(F.col(flag).alias("f"), F.explode(F.array_distinct(terms(F.col(text)))).alias("term"))
+    counts = seen.groupBy("term").agg(F.sum("f").alias("a"), F.sum(1 - F.col("f")).alias("b"))
+    a, b = F.col("a").cast("double"), F.col("b").cast("double")
+    cells = [(a, flagged, a + b), (b, n - flagged, a + b)]
+    cells += [(flagged - a, flagged, n - a - b), (n - flagged - b, n - flagged, n - a - b)]
+    ratio = sum(
+        (F.when(held > 0, held * F.log(held * n / (F.lit(column) * row))).otherwise(0.0) for held, column, row in cells),
+        start=F.lit(0.0),
+    )
+    odds = F.log((a + 0.5) / (flagged - a + 0.5)) - F.log((b + 0.5) / (n - flagged - b + 0.5))
+    found = counts.where(a * (n - flagged) > b * flagged).select(
+        "term", odds.alias("odds"), F.round(2 * ratio, 6).alias("evidence")
+    )
+    best = found.where(F.col("evidence") >= least).orderBy(F.desc("evidence"), "term").limit(most)
+    return [(r.term, r.odds) for r in best.collect()]
+
+
 def score_safety(text: Column, unsafe: list[str] = UNSAFE_TERMS) -> Column:
     return yes_no(~F.exists(terms(text), lambda t: t.isin(unsafe)))
 

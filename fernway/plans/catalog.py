@@ -31,7 +31,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # Parameters that queries and their SQL share.
 AS_OF = "1998-06-30"
 CITY_ALIASES = {"los angeles": "CITY_0", "la": "CITY_0", "new york": "CITY_1", "ny": "CITY_1"}
-SEVERITY = {"trash": 1, "loser": 1, "clown": 1, "idiot": 2, "moron": 2, "pathetic": 3, "scum": 4}
 FILES = [f"src{i}" for i in range(20)]
 CLIENTS = [f"client_{i // 5}" for i in range(20)]
 QUERY_VECTOR = [0.125] * 64
@@ -314,9 +313,19 @@ def range_filter(t: Tables) -> DataFrame:
     )
 
 
+def toxic_terms(t: Tables) -> tuple[list[tuple[str, float]], DataFrame]:
+    """Terms learned from about half of the labelled documents, and all other documents."""
+    half = F.conv(F.left(F.md5(F.concat(F.col("doc_id").cast("string"), F.lit("-1"))), F.lit(7)), 16, 10).cast("int") % 2
+    ids = t.labels.where(half == 0).select("doc_id", "toxic")
+    texts = t.documents.select("doc_id", "text")
+    return sc.learned_terms(texts.join(ids, "doc_id"), "text", "toxic"), texts.join(ids, "doc_id", "left_anti")
+
+
 @query
 def note_severity(t: Tables) -> DataFrame:
-    return tb.note_severity(t.documents, "doc_id", "text", SEVERITY, 25)
+    learned, rest = toxic_terms(t)
+    weights = {term: round(odds * 10) for term, odds in learned}
+    return tb.note_severity(rest, "doc_id", "text", weights, 25)
 
 
 @query
@@ -848,10 +857,11 @@ def parse_typed_output(t: Tables) -> DataFrame:
 @query
 def text_classifier(t: Tables) -> DataFrame:
     # Ids are sampled before their texts are fetched; what isn't in the sample is predicted.
-    split = sa.train_test_split(labelled(t), "label", "doc_id", 40, 40).where("split = 'train'")
-    texts = t.documents.select("doc_id", "text")
-    model = pr.train_classifier(split.join(texts, "doc_id"), "text", "label")
-    held_out = texts.join(labelled(t).join(split, "doc_id", "left_anti"), "doc_id")
+    docs = t.documents.select("doc_id", "text", F.col("lang").alias("label"))
+    ids = docs.select("doc_id", "label")
+    split = sa.train_test_split(ids, "label", "doc_id", 40, 40).where("split = 'train'").select("doc_id")
+    model = pr.train_classifier(docs.join(split, "doc_id"), "text", "label")
+    held_out = docs.join(split, "doc_id", "left_anti")
     return pr.classify(model, held_out, "doc_id", "text").select("doc_id", "label", "prediction")
 
 
@@ -872,7 +882,8 @@ def score_rationale(t: Tables) -> DataFrame:
 
 @query
 def score_safety(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", sc.score_safety(F.col("text")).alias("value"))
+    learned, rest = toxic_terms(t)
+    return rest.select("doc_id", sc.score_safety(F.col("text"), [term for term, _ in learned]).alias("value"))
 
 
 @query

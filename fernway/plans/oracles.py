@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .catalog import AS_OF, CLIENTS, FILES, PRICES, QUERY_VECTOR, SEVERITY
+from .catalog import AS_OF, CLIENTS, FILES, PRICES, QUERY_VECTOR
 from .fixtures import with_views
 from ..operators.generators import CITIES, INSURERS, NETWORK, PLANS, REASONS
 from ..operators.scoring import PRODUCT_LABELS, STOP_WORDS, UNSAFE_TERMS
@@ -231,11 +231,32 @@ WHERE city = 'CITY_0' AND insurer = 'BUILDING'""", "visits")
 add("range_filter", """
 SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 6500 AND c_acctbal < 9000""")
 
-WEIGHTS = " ".join(f"WHEN '{t}' THEN {w}" for t, w in SEVERITY.items())
-add("note_severity", f"""
-SELECT doc_id, CAST(sum(CASE term {WEIGHTS} ELSE 0 END) AS BIGINT) AS severity
-FROM (SELECT doc_id, unnest({tokens('text')}) AS term FROM documents)
-GROUP BY doc_id HAVING sum(CASE term {WEIGHTS} ELSE 0 END) > 0
+TOXIC = f"""
+train AS (
+    SELECT doc_id, toxic FROM labels WHERE ('0x' || left(md5(concat(doc_id, '-1')), 7))::INT % 2 = 0),
+seen AS (
+    SELECT term, count(*) FILTER (toxic = 1) AS a, count(*) FILTER (toxic = 0) AS b
+    FROM (SELECT DISTINCT doc_id, toxic, unnest({tokens('text')}) AS term
+          FROM train JOIN documents USING (doc_id))
+    GROUP BY term),
+cells AS (
+    SELECT term, a::DOUBLE AS a, b::DOUBLE AS b, (fl - a)::DOUBLE AS c, (n - fl - b)::DOUBLE AS d, n, fl
+    FROM seen, (SELECT count(*) AS n, coalesce(sum(toxic), 0) AS fl
+                FROM train JOIN documents USING (doc_id))),
+learned AS (
+    SELECT term, ln((a + 0.5) / (c + 0.5)) - ln((b + 0.5) / (d + 0.5)) AS odds,
+           round(2 * (CASE WHEN a > 0 THEN a * ln(a * n / (fl * (a + b))) ELSE 0 END
+                      + CASE WHEN b > 0 THEN b * ln(b * n / ((n - fl) * (a + b))) ELSE 0 END
+                      + CASE WHEN c > 0 THEN c * ln(c * n / (fl * (c + d))) ELSE 0 END
+                      + CASE WHEN d > 0 THEN d * ln(d * n / ((n - fl) * (c + d))) ELSE 0 END), 6)
+               AS evidence
+    FROM cells WHERE a * (n - fl) > b * fl
+    QUALIFY evidence >= 20 AND row_number() OVER (ORDER BY evidence DESC, term) <= 1000),
+rest AS (SELECT doc_id, text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM train))"""
+add("note_severity", f"""WITH {TOXIC}
+SELECT doc_id, CAST(sum(round(odds * 10)) AS BIGINT) AS severity
+FROM (SELECT doc_id, unnest({tokens('text')}) AS term FROM rest) JOIN learned USING (term)
+GROUP BY doc_id HAVING sum(round(odds * 10)) > 0
 ORDER BY severity DESC, doc_id LIMIT 25""")
 
 add("recency_filter", f"""
@@ -577,7 +598,9 @@ FROM found LEFT JOIN words USING (item_id) LEFT JOIN context USING (item_id)""")
 
 # Models and scores
 
-add("text_classifier", f"""WITH {SAMPLE},
+add("text_classifier", f"""WITH ranked AS (
+    SELECT doc_id, lang AS label, row_number() OVER (
+        PARTITION BY lang ORDER BY md5(concat(doc_id, '-1')), doc_id) AS sample_rank FROM documents),
 train AS (SELECT doc_id, label FROM ranked WHERE sample_rank <= 40),
 shares AS (SELECT label, count(*) AS n FROM train GROUP BY 1),
 counted AS (
@@ -591,9 +614,7 @@ weights AS (
            / (coalesce(z.n, 0) + (SELECT count(*) FROM vocabulary))::DOUBLE) * 1000000) AS BIGINT) AS w
     FROM vocabulary v CROSS JOIN shares s LEFT JOIN sizes z ON z.label = s.label
     LEFT JOIN counted c ON c.term = v.term AND c.label = s.label),
-rest AS (
-    SELECT doc_id, concat_ws('-', quality, toxic) AS label FROM labels
-    WHERE doc_id NOT IN (SELECT doc_id FROM train)),
+rest AS (SELECT doc_id, lang AS label FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM train)),
 used AS (
     SELECT doc_id, term, count(*) AS tf
     FROM (SELECT doc_id, unnest({tokens('text')}) AS term FROM rest JOIN documents USING (doc_id))
@@ -633,8 +654,10 @@ SELECT example_id, CASE WHEN len(parts) = 2 AND {n_words('parts[2]')} <= 60 THEN
        END AS value FROM p""", "answers")
 
 UNSAFE = f"len(list_filter({tokens('text')}, lambda x: x IN ({listed(UNSAFE_TERMS)}))) > 0"
-add("score_safety", f"""
-SELECT doc_id, CASE WHEN {UNSAFE} THEN 'no' ELSE 'yes' END AS value FROM documents""")
+add("score_safety", f"""WITH {TOXIC}
+SELECT doc_id, CASE WHEN doc_id IN (
+    SELECT doc_id FROM (SELECT doc_id, unnest({tokens('text')}) AS term FROM rest) JOIN learned USING (term))
+    THEN 'no' ELSE 'yes' END AS value FROM rest""")
 
 add("score_relevance", f"""
 WITH t AS (SELECT req_no, list_distinct({tokens('request')}) AS q, {tokens('response')} AS c

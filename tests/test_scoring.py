@@ -193,6 +193,19 @@ def test_history_crosses_pages(spark):
     }
 
 
+def test_learned_terms_on_held_out_labels(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id")
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    learned = [term for term, _ in sc.learned_terms(rows.where(half == 0), "text", "toxic")]
+    found = rows.where(half == 1).select("toxic", sc.score_safety(F.col("text"), learned).alias("s"))
+    counts = {(r.toxic, r.s): r["count"] for r in found.groupBy("toxic", "s").count().collect()}
+    caught, missed, wrong = (counts.get(x, 0) for x in ((1, "no"), (1, "yes"), (0, "no")))
+    assert caught / (caught + wrong) >= 0.8 and caught / (caught + missed) >= 0.5
+    assert sc.learned_terms(rows.limit(0), "text", "toxic") == []
+    assert sc.learned_terms(rows.where("toxic = 0"), "text", "toxic") == []
+
+
 def test_rules_beside_the_labels_they_stand_for(spark):
     # A term list misses labelled texts that hold none of its terms: 18 of 51 here. It was
     # chosen by looking at these labels, so this is a regression check and no estimate.
