@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import Column, SparkSession, functions as F
 
+from .text import WHITESPACE
+
 CONTEXT_TYPE = "array<struct<doc_uri:string,content:string>>"
 # Layout of a trace; only the fields that are read are declared.
 TRACE_TYPE = (
@@ -94,16 +95,13 @@ def decode_base64(text: Column) -> Column:
 
 
 def register_functions(spark: SparkSession) -> None:
-    """Make the scalars callable from SQL text, as vectorised functions."""
-
-    @F.pandas_udf("int")
-    def count_words(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: len(t.split()), na_action="ignore").astype("Int32")
-
-    @F.pandas_udf("string")
-    def prefix(email: pd.Series) -> pd.Series:
-        name = email.str.split("@").str[0].str.replace(".", "_", regex=False)
-        return name.str[:4] + name.str.len().astype("Int64").astype("string").str.rjust(3, "0")
-
-    spark.udf.register("count_words", count_words)
-    spark.udf.register("user_prefix", prefix)
+    """Make the scalars callable from SQL text, as SQL functions that the optimizer sees through."""
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION count_words(body STRING) RETURNS INT
+        COMMENT 'Words between white space'
+        RETURN size(filter(split(body, r'{WHITESPACE}'), w -> w <> ''))""")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION user_prefix(email STRING) RETURNS STRING
+        COMMENT 'First four characters of the name part and its length'
+        RETURN concat(left(replace(substring_index(email, '@', 1), '.', '_'), 4),
+                      format_string('%03d', length(substring_index(email, '@', 1))))""")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import ns_to_seconds
@@ -259,6 +260,46 @@ def score_overlap(
     )
 
 
+def common_subsequence(a: list, b: list) -> int:
+    """Length of the longest common subsequence; a row of the table is the bits of one number
+    (Hyyro: AWOCA 2004), so memory is linear in the shorter list."""
+    if len(a) > len(b):
+        a, b = b, a
+    places: dict = {}
+    for i, item in enumerate(a):
+        places[item] = places.get(item, 0) | 1 << i
+    every = (1 << len(a)) - 1
+    row = every
+    for item in b:
+        if match := row & places.get(item, 0):
+            row = (row + match | row - match) & every
+    return len(a) - row.bit_count()
+
+
+def score_lcs(pairs: DataFrame, key: str, candidate: str, reference: str) -> DataFrame:
+    """ROUGE-L: the longest common subsequence of words as share of the candidate (``precision``) and of
+    the reference (``recall``), and their harmonic mean ``f1``.
+
+    Words are split by Spark and compared on Arrow batches, row by row without a shuffle. NULL texts have no
+    words; a share of no words is NULL.
+    """
+
+    def lengths(left: pa.Array, right: pa.Array) -> pa.Array:
+        pairs = zip(left.to_pylist(), right.to_pylist())
+        return pa.array([common_subsequence(a, b) for a, b in pairs], pa.int32())
+
+    none = F.array().cast("array<string>")
+    words = [F.coalesce(terms(F.col(c)), none) for c in (candidate, reference)]
+    rows = pairs.select(key, words[0].alias("_c"), words[1].alias("_r"))
+    rows = rows.withColumn("lcs", F.arrow_udf(lengths, "int")("_c", "_r"))
+    precision, recall = (F.when(F.size(c) > 0, F.col("lcs") / F.size(c)) for c in ("_c", "_r"))
+    both = F.size("_c") + F.size("_r")
+    f1 = F.when((F.size("_c") > 0) & (F.size("_r") > 0), 2 * F.col("lcs") / both)
+    return rows.select(
+        key, "lcs", *[F.round(x, 6).alias(n) for n, x in (("precision", precision), ("recall", recall), ("f1", f1))]
+    )
+
+
 def score_cost(
     request: Column, response: Column, model: Column, prices: dict[str, tuple[float, float]]
 ) -> Column:

@@ -137,6 +137,22 @@ def html_to_text(t: Tables) -> DataFrame:
     return html.read_pages(t.pages, "page_id", "html")
 
 
+TEAMS = [
+    {"segment": "AUTOMOBILE", "team": "north"},
+    {"segment": "BUILDING", "team": "south"},
+    {"segment": "MACHINERY", "team": None},
+]
+
+
+@query
+def rows_to_df(t: Tables) -> DataFrame:
+    teams = st.rows_to_df(t.spark, TEAMS, "segment string, team string")
+    found = t.customer.join(F.broadcast(teams), F.col("c_mktsegment") == F.col("segment"))
+    return found.groupBy("segment", "team").agg(
+        F.count("*").alias("n_customers"), F.sum(F.round(F.col("c_acctbal") * 100).cast("long")).alias("cents")
+    )
+
+
 @query
 def write_table(t: Tables) -> DataFrame:
     path = new_work_path(t.spark, "visits")
@@ -528,6 +544,14 @@ def conversation_history(t: Tables) -> DataFrame:
     )
 
 
+@query
+def full_history(t: Tables) -> DataFrame:
+    last = t.conversations.groupBy("conv_id").agg(F.max("turn").alias("turn"))
+    found = tb.full_history(last, t.conversations, page_turns=4)
+    lines = F.transform("history", lambda h: F.concat_ws(":", h["turn"], h["role"], h["text"]))
+    return found.select("conv_id", "turn", joined(lines).alias("history"))
+
+
 @query
 def history_pages(t: Tables) -> DataFrame:
     _, pages = tb.conversation_history(t.conversations, page_turns=4)
@@ -557,6 +581,15 @@ def rank_variants(t: Tables) -> DataFrame:
 # Scalars -------------------------------------------------------------------------------
 
 
+@query
+def sql_functions(t: Tables) -> DataFrame:
+    scalars.register_functions(t.spark)
+    t.documents.createOrReplaceTempView("fernway_documents")
+    return t.spark.sql("""
+        SELECT doc_id, count_words(text) AS n_words, user_prefix(concat(source, '.', lang, '@x.org')) AS prefix
+        FROM fernway_documents""")
+
+
 @query
 def word_count(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", tx.word_count(F.col("text")).alias("n_words"))
@@ -973,6 +1006,11 @@ def score_overlap(t: Tables) -> DataFrame:
     return sc.score_overlap(t.request_log, "req_no", "response", "request")
 
 
+@query
+def score_rouge_l(t: Tables) -> DataFrame:
+    return sc.score_lcs(t.request_log, "req_no", "response", "request")
+
+
 @query
 def score_cost(t: Tables) -> DataFrame:
     model = F.when(F.col("req_no") % 2 == 0, "small").otherwise("large")

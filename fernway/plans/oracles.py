@@ -384,6 +384,23 @@ add("train_test_split", f"""WITH {SAMPLE}
 SELECT doc_id, label, sample_rank, CASE WHEN sample_rank <= 3 THEN 'train' ELSE 'test' END AS split
 FROM ranked WHERE sample_rank <= 13""")
 
+add("full_history", """
+SELECT conv_id, last AS turn, coalesce(string_agg(concat_ws(':', turn, role, text), '|' ORDER BY turn)
+       FILTER (turn < last), '') AS history
+FROM (SELECT *, max(turn) OVER (PARTITION BY conv_id) AS last FROM conversations) GROUP BY 1, 2""")
+
+add("rows_to_df", """
+SELECT segment, team, count(*) AS n_customers, CAST(sum(round(c_acctbal * 100)) AS BIGINT) AS cents
+FROM customer JOIN (VALUES ('AUTOMOBILE', 'north'), ('BUILDING', 'south'), ('MACHINERY', NULL))
+     teams(segment, team) ON c_mktsegment = segment
+GROUP BY 1, 2""")
+
+add("sql_functions", f"""
+SELECT doc_id, CAST({n_words('text')} AS INTEGER) AS n_words,
+       concat(left(concat(source, '_', lang), 4), lpad(CAST(length(source) + 1 + length(lang) AS VARCHAR), 3, '0'))
+           AS prefix
+FROM documents""")
+
 add("pct_drop", """
 SELECT symbol, CAST(day AS VARCHAR) AS day, close, previous_close,
        round((close - previous_close) / previous_close * 100, 6) AS change_pct
@@ -511,6 +528,67 @@ SELECT concat('doc_', doc_id) AS document_name, chunk_index, content FROM ({CHUN
 UNION ALL
 SELECT concat('item_', item_id), chunk_index, content
 FROM ({WINDOWS.format(key='item_id', table='benchmark')})""")
+# Nodes are texts to split, each at the coarsest separator it has; parts that stay too long are the
+# nodes below. Neighbouring short parts make a run, and runs are packed chunk by chunk.
+add("recursive_chunk", """
+WITH RECURSIVE nodes AS (
+    SELECT doc_id, []::BIGINT[] AS path, text, 1 AS sep FROM documents WHERE text <> ''
+    UNION ALL
+    SELECT doc_id, list_append(path, pos), part, at_sep + 1
+    FROM (SELECT doc_id, path, at_sep, unnest(parts) AS part, unnest(range(1, len(parts) + 1)) AS pos
+          FROM (SELECT doc_id, path, at_sep, CASE WHEN split[1] = '' THEN split[2:] ELSE split END AS parts
+                FROM (SELECT doc_id, path, at_sep, list_transform(string_split(text, s),
+                             lambda x, i: CASE WHEN i = 1 THEN x ELSE s || x END) AS split
+                      FROM (SELECT *, CASE WHEN sep <= 1 AND contains(text, chr(10) || chr(10)) THEN 1
+                                           WHEN sep <= 2 AND contains(text, chr(10)) THEN 2
+                                           WHEN sep <= 3 AND contains(text, ' ') THEN 3 ELSE 4 END AS at_sep,
+                                   CASE at_sep WHEN 1 THEN chr(10) || chr(10) WHEN 2 THEN chr(10) ELSE ' ' END AS s
+                            FROM nodes) WHERE at_sep < 4)))
+    WHERE length(part) >= 600),
+split AS (
+    SELECT *, CASE WHEN sep <= 1 AND contains(text, chr(10) || chr(10)) THEN 1
+                   WHEN sep <= 2 AND contains(text, chr(10)) THEN 2
+                   WHEN sep <= 3 AND contains(text, ' ') THEN 3 ELSE 4 END AS at_sep,
+           CASE at_sep WHEN 1 THEN chr(10) || chr(10) WHEN 2 THEN chr(10) ELSE ' ' END AS s
+    FROM nodes),
+cut AS (
+    SELECT doc_id, path, at_sep, CASE WHEN at_sep = 4 THEN string_split(text, '')
+           ELSE list_filter(list_transform(string_split(text, s),
+                    lambda x, i: CASE WHEN i = 1 THEN x ELSE s || x END), lambda x: x <> '') END AS parts
+    FROM split),
+parts AS (
+    SELECT doc_id, path, at_sep, unnest(parts) AS part, unnest(range(1, len(parts) + 1)) AS pos FROM cut),
+marked AS (
+    SELECT *, at_sep < 4 AND length(part) >= 600 AS too_long,
+           count(*) FILTER (at_sep < 4 AND length(part) >= 600) OVER (PARTITION BY doc_id, path ORDER BY pos) AS run
+    FROM parts),
+runs AS (
+    SELECT doc_id, list_append(path, min(pos)) AS path, list(part ORDER BY pos) AS parts,
+           list(upto ORDER BY pos) AS upto
+    FROM (SELECT *, CAST(sum(length(part)) OVER (PARTITION BY doc_id, path, run ORDER BY pos) AS BIGINT) AS upto
+          FROM marked WHERE NOT too_long)
+    GROUP BY doc_id, path, run),
+ends AS (
+    SELECT doc_id, path, parts, upto, 1::BIGINT AS low,
+           coalesce(list_position(list_transform(upto, lambda u: u > 600), true), len(upto) + 1)::BIGINT AS high
+    FROM runs),
+chunks AS (
+    SELECT doc_id, path, parts, upto, low, high FROM ends
+    UNION ALL
+    SELECT doc_id, path, parts, upto, low, coalesce(list_position(
+               list_transform(upto, lambda u, i: i > low AND u - (CASE WHEN low > 1 THEN upto[low - 1] ELSE 0 END) > 600), true),
+               len(upto) + 1)::BIGINT
+    FROM (SELECT doc_id, path, parts, upto, list_position(list_transform(upto, lambda u, i: i >= c.low AND (i = c.high OR (
+                     upto[c.high - 1] - (CASE WHEN i > 1 THEN upto[i - 1] ELSE 0 END) <= 50
+                     AND upto[c.high] - (CASE WHEN i > 1 THEN upto[i - 1] ELSE 0 END) <= 600))), true)::BIGINT AS low
+          FROM chunks c WHERE high <= len(upto))),
+stripped AS (
+    SELECT doc_id, list_append(path, low) AS path, regexp_replace(regexp_replace(
+        list_aggregate(parts[low:high - 1], 'string_agg', ''), '^[\\s\\x0b\\x1c-\\x1f\\x{85}\\x{a0}]+', ''),
+        '[\\s\\x0b\\x1c-\\x1f\\x{85}\\x{a0}]+$', '') AS content
+    FROM chunks)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY path) - 1 AS INTEGER) AS chunk_index, content
+FROM stripped WHERE content <> ''""")
 add("synthetic_questions", f"""
 SELECT doc_id, chunk_index, concat('What does this passage say? ', content) AS question
 FROM (SELECT *, row_number() OVER (PARTITION BY doc_id

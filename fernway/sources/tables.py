@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -62,15 +63,24 @@ def trace_source(spans: DataFrame, max_rows: int | None = None) -> DataFrame:
     """One row per trace from a table of spans.
 
     Spans are reduced to counts, times and the first chat span while they are read, so
-    a trace with very many spans costs no more memory than a short one.
+    a trace with very many spans costs no more memory than a short one. Where span ids are whole
+    numbers the order of chat spans, by start and id, is one decimal number (starts up to 4.9e18), which is
+    summed up in a hash table; otherwise spans are sorted by trace.
     """
-    chat = F.when(F.col("span_type") == "CHAT_MODEL", F.struct("start_ns", "span_id", "end_ns"))
+    is_chat = F.col("span_type") == "CHAT_MODEL"
+    if isinstance(spans.schema["span_id"].dataType, T.IntegralType):
+        start, span = F.col("start_ns").cast("decimal(19,0)"), F.coalesce("span_id", F.lit(0)).cast("decimal(19,0)")
+        place = (start * F.lit(Decimal(2 * 10**19)) + span).cast("decimal(38,0)")
+    else:
+        place = F.struct("start_ns", "span_id")
+    place = F.when(is_chat, place)
     traces = spans.groupBy("trace_id").agg(
         F.count("*").alias("n_spans"),
         F.count_if(F.col("span_type") == "RETRIEVER").alias("n_retriever"),
         F.min("start_ns").alias("start_ns"),
         F.max("end_ns").alias("end_ns"),
-        F.min(chat).alias("_chat"),
+        F.min(F.when(is_chat, F.col("start_ns"))).alias("chat_start_ns"),
+        F.min_by("end_ns", place).alias("chat_end_ns"),
     )
     out = traces.select(
         "trace_id",
@@ -78,8 +88,8 @@ def trace_source(spans: DataFrame, max_rows: int | None = None) -> DataFrame:
         "n_retriever",
         "start_ns",
         "end_ns",
-        F.col("_chat.start_ns").alias("chat_start_ns"),
-        F.col("_chat.end_ns").alias("chat_end_ns"),
+        "chat_start_ns",
+        "chat_end_ns",
     )
     return out if max_rows is None else out.orderBy("trace_id").limit(max_rows)
 

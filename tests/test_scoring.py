@@ -1,3 +1,6 @@
+import random
+import re
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -5,6 +8,8 @@ from pyspark.sql import functions as F, types as T
 from fernway.functions import text as tx
 from fernway.operators import predict as pr, scoring as sc, tables as tb
 from fernway.operators.generators import INSURERS, gen_practices, gen_visits
+from fernway.plans.catalog import QUERIES
+from fernway.plans.fixtures import Tables
 
 
 def one(spark, schema, *rows):
@@ -193,6 +198,40 @@ def test_history_crosses_pages(spark):
     }
 
 
+def brute_lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = row[:]
+        for j, y in enumerate(b):
+            row[j + 1] = before[j] + 1 if x == y else max(before[j + 1], row[j])
+    return row[-1]
+
+
+def test_common_subsequence_equals_the_table():
+    rnd = random.Random(6)
+    for _ in range(300):
+        a, b = ([rnd.randrange(rnd.choice([2, 9])) for _ in range(rnd.randint(0, 70))] for _ in range(2))
+        assert sc.common_subsequence(a, b) == brute_lcs(a, b)
+    a, b = ([rnd.randrange(20) for _ in range(1000)] for _ in range(2))
+    assert sc.common_subsequence(a, b) == brute_lcs(a, b)
+
+
+def test_rouge_l_of_the_request_log(spark):
+    t = Tables(spark, "/root/testdata/sf0.001")
+    tokens = lambda x: [w for w in re.split(r"[\W_]+", (x or "").lower()) if w]
+    want = {r.req_no: (tokens(r.response), tokens(r.request)) for r in t.request_log.collect()}
+    got = {r.req_no: r for r in QUERIES["score_rouge_l"](spark, "/root/testdata/sf0.001").collect()}
+    assert got.keys() == want.keys()
+    for k, (c, r) in want.items():
+        n = brute_lcs(c, r)
+        assert got[k].lcs == n
+        assert got[k].precision == (round(n / len(c), 6) if c else None)
+        assert got[k].recall == (round(n / len(r), 6) if r else None)
+    odd = one(spark, "k int, c string, r string", (1, None, "a b"), (2, "", ""), (3, "b a b", "a b a"))
+    assert {r.k: (r.lcs, r.precision, r.f1) for r in sc.score_lcs(odd, "k", "c", "r").collect()} == {
+        1: (0, None, None), 2: (0, None, None), 3: (2, 0.666667, 0.666667)}
+
+
 def test_learned_terms_on_held_out_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = docs.join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id")
@@ -216,3 +255,17 @@ def test_rules_beside_the_labels_they_stand_for(spark):
     assert counts == {(0, "yes"): 348, (1, "no"): 33, (1, "yes"): 18}
     guess = docs.select("lang", sc.score_language(F.col("text"))["language"].alias("g"))
     assert guess.where("lang = g").count() / guess.count() >= 0.9
+
+
+def test_first_chat_span_needs_no_sort(spark):
+    from fernway.sources.tables import trace_source
+
+    rows = [(1, 5, "CHAT_MODEL", 10, 12), (1, 4, "CHAT_MODEL", 10, 11), (1, 9, "TOOL", 3, 40), (1, 1, "CHAT_MODEL", 11, 99),
+            (2, -3, "CHAT_MODEL", 7, 8), (2, 3, "CHAT_MODEL", 7, 9), (3, 1, "RETRIEVER", 1, 2), (4, None, "CHAT_MODEL", None, 5)]
+    shape = "trace_id long, span_id {}, span_type string, start_ns long, end_ns long"
+    for kind in ("long", "string"):
+        spans = one(spark, shape.format("long"), *rows).withColumn("span_id", F.col("span_id").cast(kind))
+        got = {r.trace_id: (r.start_ns, r.end_ns, r.chat_start_ns, r.chat_end_ns) for r in trace_source(spans).collect()}
+        assert got[1] == (3, 99, 10, 11) and got[2] == (7, 9, 7, 8) and got[3] == (1, 2, None, None)
+    plan = trace_source(one(spark, shape.format("long"), *rows))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Sort [" not in plan
