@@ -107,8 +107,8 @@ VIEW_SQL = {
                       ELSE 'Account' END, chr(10), 'Subcategory: from ', source, chr(10),
                       'Title: About ', source, ': part ', doc_id, chr(10),
                       'Tags: ', lang, ', ', source, ',help', chr(10),
-                      'Last Updated: 2025-03-', lpad(CAST(doc_id % 28 + 1 AS STRING), 2, '0'),
-                      ' 23:59:47', chr(10), 'Generated: 2025-07-13T23:15:57', chr(10), chr(10),
+                      'Last Updated: 2021-05-', lpad(CAST(doc_id % 28 + 1 AS STRING), 2, '0'),
+                      ' 07:08:09', chr(10), 'Generated: 2022-02-03T04:05:06', chr(10), chr(10),
                       '---', chr(10), chr(10), text) AS text
         FROM documents""",
     "ticket_files": """

@@ -55,9 +55,9 @@ SELECT a.path, concat('KB-', d.doc_id) AS id,
        concat('from ', d.source) AS subcategory,
        concat('About ', d.source, ': part ', d.doc_id) AS title,
        concat(d.lang, '|', d.source, '|help') AS tags,
-       strftime(DATE '2025-03-01' + CAST(d.doc_id % 28 AS INT), '%Y-%m-%d 23:59:47')
+       strftime(DATE '2021-05-01' + CAST(d.doc_id % 28 AS INT), '%Y-%m-%d 07:08:09')
             AS last_updated,
-       '2025-07-13 23:15:57' AS generated, trim(d.text, ' ' || chr(10)) AS body
+       '2022-02-03 04:05:06' AS generated, trim(d.text, ' ' || chr(10)) AS body
 FROM article_files a JOIN documents d ON a.doc_id = d.doc_id""", "article_files")
 
 add("parse_ticket", """
