@@ -436,7 +436,7 @@ def _slot_sums(codes: Column, width: int) -> Column:
         later = F.struct(slot.alias("slot"), sign.alias("value"), upto(state, slot).alias("out"))
         return F.when(slot == state["slot"], same.cast(shape)).otherwise(later.cast(shape))
 
-    return F.aggregate(F.array_sort(codes), start.cast(shape), add, lambda state: upto(state, F.lit(width)))
+    return F.aggregate(F.sort_array(codes), start.cast(shape), add, lambda state: upto(state, F.lit(width)))
 
 
 def fit_embedder(docs: DataFrame, text: str, width: int = 256) -> Embedder:
