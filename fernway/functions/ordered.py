@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..session import stored
+
 
 def neighbour_value(
     df: DataFrame,
@@ -48,37 +50,21 @@ def neighbour_value(
     return joined.drop("_span", "_inner", "_outer")
 
 
-def dense_number(
-    df: DataFrame, order: list[str], levels: list[Column], name: str = "row_no"
-) -> DataFrame:
-    """Number all rows 0, 1, 2, … by ``order`` without a single-task sort.
+def dense_number(df: DataFrame, order: list[str], name: str = "row_no") -> DataFrame:
+    """Number all rows 0, 1, 2, … by ``order``, which must be unique.
 
-    ``levels`` are ever finer monotone groupings of the order columns, for example
-    ``[conv_id div 1000, conv_id, turn div 4096]``. Group sizes are counted with
-    map-side partial sums, offsets are running sums per parent level, and a row's number is
-    its group's offset plus its rank in the group. The first level must have few
-    distinct values, since its totals are summed in one task.
+    One exchange: rows are cut into ranges of the order columns and sorted there. They are stored with
+    their range and place, so neither changes when a task is repeated; then the ranges are counted,
+    and a row's number is the sum of the ranges before plus its place. There are as many ranges as shuffle
+    partitions, which bounds what is summed in one task and sent to all.
     """
-    names = [f"_l{i}" for i in range(len(levels))]
-    ranged = df.select("*", *[c.alias(n) for c, n in zip(levels, names)])
-    counts = ranged.groupBy(*names).agg(F.count("*").alias("_n"))
-    offsets = counts.withColumn("_start", F.lit(0).cast("long"))
-    for depth in range(len(names)):
-        parents, level = names[:depth], names[depth]
-        totals = counts.groupBy(*parents, level).agg(F.sum("_n").alias("_t"))
-        before = (
-            W.partitionBy(*parents).orderBy(level).rowsBetween(W.unboundedPreceding, -1)
-        )
-        running = totals.select(
-            *parents, level, F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_before")
-        )
-        offsets = offsets.join(running, [*parents, level]).withColumn(
-            "_start", F.col("_start") + F.col("_before")
-        ).drop("_before")
-    inside = W.partitionBy(*names).orderBy(*order)
-    return (
-        ranged.withColumn("_rank", F.row_number().over(inside))
-        .join(offsets.drop("_n"), names)
-        .withColumn(name, F.col("_start") + F.col("_rank") - 1)
-        .drop(*names, "_rank", "_start")
-    )
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    kept = stored(placed.withColumn("_id", F.monotonically_increasing_id()), "numbered")
+    # The id holds the partition above the lower 33 bits, the place below.
+    span, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
+    before = W.orderBy("_span").rowsBetween(W.unboundedPreceding, -1)
+    counts = kept.groupBy(span.alias("_span")).agg(F.count("*").alias("_n"))
+    starts = counts.select("_span", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    located = kept.withColumn("_span", span).join(F.broadcast(starts), "_span")
+    return located.withColumn(name, F.col("_start") + place).drop("_span", "_start", "_id")

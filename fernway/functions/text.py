@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Patterns. Whitespace is what Python's ``str.split`` splits on.
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
@@ -16,6 +16,12 @@ def bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def exploded(df: DataFrame, keep: list[str | Column], array: Column, name: str) -> DataFrame:
+    """A row per element of ``array``, null elements dropped. For an inner explode Spark also
+    filters by the size of the array, which computes a costly expression twice."""
+    return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
+
+
 def words(text: Column) -> Column:
     """Whitespace-separated tokens, empty ones dropped."""
     return F.filter(F.split(text, WHITESPACE), lambda w: w != "")

@@ -30,9 +30,9 @@ def window_spans(text: Column, size: int = SIZE, overlap: int = OVERLAP) -> Colu
 
 def window_chunk(docs: DataFrame, key: str, text: str, **limits: int) -> DataFrame:
     """One row per window; ``chunk_index`` runs from 0 in each document. No Python, no shuffle."""
-    return docs.select(
-        key, F.posexplode(window_spans(F.col(text), **limits)).alias("chunk_index", "content")
-    )
+    # An inner explode would make Spark run the expression once more, to test its size.
+    spans = F.posexplode_outer(window_spans(F.col(text), **limits))
+    return docs.select(key, spans.alias("chunk_index", "content")).where("content IS NOT NULL")
 
 
 def chunk_id(document: Column, index: Column) -> Column:

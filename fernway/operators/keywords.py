@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import stored
-from ..functions.text import codes, email_addresses, terms
+from ..functions.text import codes, email_addresses, exploded, terms
 
 
 def extract_keywords(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
@@ -16,7 +16,7 @@ def extract_keywords(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     be in most documents: both sides of its join come from stored tables, and only then does
     adaptive execution split a skewed partition.
     """
-    tokens = docs.select(key, F.explode(terms(F.col(text))).alias("term"))
+    tokens = exploded(docs, [key], terms(F.col(text)), "term")
     counted = stored(tokens.groupBy(key, "term").agg(F.count("*").alias("tf")), "term-counts")
     frequency = stored(counted.groupBy("term").agg(F.count("*").alias("df")), "term-documents")
     total = docs.where(F.col(text).isNotNull()).count()
@@ -29,13 +29,13 @@ def extract_keywords(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
 
 def extract_emails(docs: DataFrame, key: str, text: str) -> DataFrame:
     """One row per address found, with its name part."""
-    found = docs.select(key, F.explode(email_addresses(F.col(text))).alias("e"))
+    found = exploded(docs, [key], email_addresses(F.col(text)), "e")
     return found.select(key, "e.name", "e.email")
 
 
 def extract_codes(docs: DataFrame, text: str) -> DataFrame:
     """Each code in the texts with its number of uses."""
-    found = docs.select(F.explode(codes(F.col(text))).alias("code"))
+    found = exploded(docs, [], codes(F.col(text)), "code")
     return found.groupBy("code").agg(F.count("*").alias("n_uses"))
 
 

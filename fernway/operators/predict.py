@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.joins import lookup_join
-from ..functions.text import terms
+from ..functions.text import exploded, terms
 from ..session import stored
 
 BatchModel = Callable[[pd.Series], pd.Series]
@@ -80,7 +80,7 @@ def train_classifier(train: DataFrame, text: str, label: str) -> NaiveBayes:
     rows = train.where(F.col(label).isNotNull())
     shares = sorted(rows.groupBy(label).count().collect())
     labels, total = [r[0] for r in shares], sum(r[1] for r in shares)
-    tokens = rows.select(F.col(label).alias("_label"), F.explode(terms(F.col(text))).alias("term"))
+    tokens = exploded(rows, [F.col(label).alias("_label")], terms(F.col(text)), "term")
     counted = stored(tokens.groupBy("_label", "term").count(), "term-labels")
     sizes = dict(counted.groupBy("_label").agg(F.sum("count")).collect())
     n_terms = counted.select("term").distinct().count()
@@ -99,7 +99,7 @@ def classify(model: NaiveBayes, df: DataFrame, key: str, text: str) -> DataFrame
     """
     if not model.labels:
         return df.withColumn("prediction", F.lit(None).cast("string"))
-    counted = df.select(key, F.explode(terms(F.col(text))).alias("term")).groupBy(key, "term").count()
+    counted = exploded(df, [key], terms(F.col(text)), "term").groupBy(key, "term").count()
     known = lookup_join(counted, model.terms, ["term"], "inner")
     sums = [F.sum(F.col("count") * F.get("_weights", F.lit(i))) for i in range(len(model.labels))]
     scored = df.join(known.groupBy(key).agg(F.array(*sums).alias("_sums")), key, "left")

@@ -422,27 +422,34 @@ def _signed_slots(text: Column, width: int) -> Column:
 
 
 def _slot_sums(codes: Column, width: int) -> Column:
-    """Signed numbers of words by slot, as an array of ``width``."""
-    shape = "struct<slot:int,value:int,out:array<int>>"
-    start = F.struct(F.lit(0).alias("slot"), F.lit(0).alias("value"), F.array().cast("array<int>").alias("out"))
+    """Signed numbers of words by slot, as an array of ``width``.
 
-    def upto(state: Column, slot: Column) -> Column:
-        """The sums of all slots before ``slot``."""
-        return F.concat(state["out"], F.array(state["value"]), F.array_repeat(F.lit(0), slot - state["slot"] - 1))
+    Every code is added once and all are sorted; then the code ``c`` ends the run number ``c``, and
+    the lengths of the runs, less one, are the counts."""
+    every = F.sequence(F.lit(0), F.lit(2 * width - 1))
 
-    def add(state: Column, code: Column) -> Column:
-        slot, sign = F.shiftright(code, 1), 1 - 2 * (code % 2)
-        same = F.struct(state["slot"].alias("slot"), (state["value"] + sign).alias("value"), state["out"].alias("out"))
-        later = F.struct(slot.alias("slot"), sign.alias("value"), upto(state, slot).alias("out"))
-        return F.when(slot == state["slot"], same.cast(shape)).otherwise(later.cast(shape))
+    def ends(ordered: Column) -> Column:
+        size = F.size(ordered)
+        return F.filter(
+            F.sequence(F.lit(1), size),
+            lambda i: (i == size) | (F.get(ordered, i) != F.get(ordered, i - 1)),
+        )
+
+    def lengths(end: Column) -> Column:
+        return F.transform(end, lambda at, i: at - F.coalesce(F.get(end, i - 1), F.lit(0)))
+
+    def signed(count: Column) -> Column:
+        slots = F.sequence(F.lit(0), F.lit(width - 1))
+        return F.transform(slots, lambda slot: F.get(count, slot * 2) - F.get(count, slot * 2 + 1))
 
-    return F.aggregate(F.sort_array(codes), start.cast(shape), add, lambda state: upto(state, F.lit(width)))
+    return bind(bind(bind(F.sort_array(F.concat(codes, every)), ends), lengths), signed)
 
 
 def fit_embedder(docs: DataFrame, text: str, width: int = 256) -> Embedder:
     """Count the documents that have a word in each slot; ``width`` numbers reach the driver."""
     slots = F.array_distinct(F.transform(_signed_slots(F.col(text), width), lambda c: F.shiftright(c, 1)))
-    held = dict(docs.select(F.explode(slots).alias("slot")).groupBy("slot").count().collect())
+    # For an inner explode Spark adds a filter that computes the array once more.
+    held = dict(docs.select(F.explode_outer(slots).alias("slot")).groupBy("slot").count().collect())
     total = docs.count()
     return Embedder(tuple(math.log((total + 1) / (held.get(i, 0) + 1)) for i in range(width)))
 

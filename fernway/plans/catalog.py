@@ -329,10 +329,14 @@ def range_filter(t: Tables) -> DataFrame:
     )
 
 
+def half_of(key):
+    """0 or 1 by hash, about half each."""
+    return F.conv(F.left(F.md5(F.concat(key.cast("string"), F.lit("-1"))), F.lit(7)), 16, 10).cast("int") % 2
+
+
 def toxic_terms(t: Tables) -> tuple[list[tuple[str, float]], DataFrame]:
     """Terms learned from about half of the labelled documents, and all other documents."""
-    half = F.conv(F.left(F.md5(F.concat(F.col("doc_id").cast("string"), F.lit("-1"))), F.lit(7)), 16, 10).cast("int") % 2
-    ids = t.labels.where(half == 0).select("doc_id", "toxic")
+    ids = t.labels.where(half_of(F.col("doc_id")) == 0).select("doc_id", "toxic")
     texts = t.documents.select("doc_id", "text")
     return sc.learned_terms(texts.join(ids, "doc_id"), "text", "toxic"), texts.join(ids, "doc_id", "left_anti")
 
@@ -769,7 +773,7 @@ def union_documents(t: Tables) -> DataFrame:
 def embed_text(t: Tables) -> DataFrame:
     model = ve.fit_embedder(t.documents.select("text"), "text")
     embedded = ve.embed_text(model, t.documents.select("doc_id", "text"))
-    slots = embedded.select("doc_id", F.posexplode("embedding").alias("slot", "x"))
+    slots = embedded.select("doc_id", F.posexplode_outer("embedding").alias("slot", "x"))
     return slots.select(
         "doc_id", "slot", F.round(F.col("x").cast("double") * 1_000_000).cast("long").alias("millionths")
     ).where("millionths <> 0")
@@ -984,8 +988,11 @@ def score_summary(t: Tables) -> DataFrame:
 
 @query
 def score_language(t: Tables) -> DataFrame:
-    found = sc.score_language(F.col("text"))
-    rows = t.documents.select("doc_id", "lang", found.alias("f"))
+    # Stop words are learned from about half of the documents, and all others are judged.
+    docs = t.documents.withColumn("half", half_of(F.col("doc_id")))
+    learned = sc.learned_stop_words(docs.where("half = 0"), "text", "lang")
+    found = sc.score_language(F.col("text"), learned)
+    rows = docs.where("half = 1").select("doc_id", "lang", found.alias("f"))
     return rows.select(
         "doc_id",
         F.col("f.language").alias("language"),

@@ -11,8 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.ordered import dense_number, neighbour_value
-from ..session import new_work_path, tune
-from ..sources.tables import write_table
+from ..session import tune
 
 BASE = (
     "region nation customer supplier part orders lineitem events documents "
@@ -245,13 +244,7 @@ class Tables:
             F.col("text").alias("request"),
             "response",
         )
-        # The log is a stored table wherever it is real; here its rows are written once, so
-        # that numbering them does not repeat the work above for every level.
-        asked = write_table(asked, new_work_path(self.spark, "request-log"))
-        levels = ["conv_id div 1000000", "conv_id div 1000", "conv_id", "turn div 4096"]
-        numbered = dense_number(
-            asked, ["conv_id", "turn"], [F.expr(e) for e in levels], "req_no"
-        )
+        numbered = dense_number(asked, ["conv_id", "turn"], "req_no")
         return numbered.select("req_no", "request_id", "request", "response")
 
     @cached_property

@@ -155,6 +155,26 @@ def test_language_by_stop_words(spark):
     assert got[0].share == 0.6 and got[2].share == 0.0 and got[3].share is None
 
 
+def test_stop_words_are_what_sets_a_language_apart(spark):
+    rows = [("a x both", "en"), ("a a y both", "en"), ("b x both", "fr"), ("b z", "fr"), (None, "fr"), ("a b", None), ("", "de")]
+    df = one(spark, "t string, lang string", *rows)
+    # a: both texts of en. y: one of two; both: two of two against one of three; x: half against a third.
+    got = sc.learned_stop_words(df, "t", "lang", 10)
+    assert got == {"en": ["a", "both", "y", "x"], "fr": ["b", "z"], "de": []}
+    assert sc.learned_stop_words(df, "t", "lang", 1) == {"en": ["a"], "fr": ["b"], "de": []}
+    nothing = sc.learned_stop_words(df.limit(0), "t", "lang")
+    assert nothing == {}
+    judged = df.select(sc.score_language(F.col("t"), nothing).alias("f")).distinct().collect()
+    assert [tuple(r.f) for r in judged] == [(None, None)]
+
+
+def test_learned_stop_words_name_held_out_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("half", F.crc32(F.col("doc_id").cast("string")) % 2)
+    learned = sc.learned_stop_words(docs.where("half = 0"), "text", "lang")
+    guess = docs.where("half = 1").select("lang", sc.score_language(F.col("text"), learned)["language"].alias("g"))
+    assert guess.where("lang = g").count() / guess.count() >= 0.95
+
+
 def test_generated_visits(spark):
     visits = gen_visits(spark.range(3000), "id")
     again = gen_visits(spark.range(3000).repartition(7), "id")
