@@ -22,6 +22,11 @@ def exploded(df: DataFrame, keep: list[str | Column], array: Column, name: str)
     return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
 
 
+def strip(text: Column) -> Column:
+    """The text without white space at both ends, as ``str.strip`` takes it."""
+    return F.regexp_replace(text, rf"^{WHITESPACE}|{WHITESPACE}\z", "")
+
+
 def words(text: Column) -> Column:
     """Whitespace-separated tokens, empty ones dropped."""
     return F.filter(F.split(text, WHITESPACE), lambda w: w != "")

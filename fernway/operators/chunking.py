@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.text import strip
 from ..sources.html import blocks_of
 
 SIZE = 600
@@ -100,31 +101,45 @@ def recursive_chunk(
     return chunked.select(key, F.posexplode("chunks").alias("chunk_index", "content"))
 
 
-def sections(blocks: list[tuple[int, str]], size: int) -> list[tuple[str, str]]:
-    """``(heading trail, body)`` pairs; a body packs neighbouring blocks up to ``size``."""
-    trail: list[tuple[int, str]] = []
-    out: list[tuple[str, str]] = []
-    held: list[str] = []
-
-    def flush() -> None:
-        if held:
-            heading = "\n".join(t for _, t in trail)
-            lines = [line + "\n" for b in held for line in split_or_keep(b, size)]
-            out.extend((heading, body.strip()) for body in _pack(lines, size, 0))
-            held.clear()
-
-    for level, text in blocks:
-        if level:
-            flush()
-            trail = [h for h in trail if h[0] < level] + [(level, text)]
-        else:
-            held.append(text)
-    flush()
+def block_lines(markup: str, kind: str, size: int) -> list[tuple[int, str]]:
+    """Blocks as ``(heading level or 0, text)``; a body block of ``size`` characters or more is
+    several, cut at lines and words."""
+    out = []
+    for level, text in blocks_of(markup, kind):
+        cut = level == 0 and len(text) >= size
+        out.extend((level, part) for part in (split_recursive(text, size - 1, 0) if cut else [text]))
     return out
 
 
-def split_or_keep(block: str, size: int) -> list[str]:
-    return [block] if len(block) < size else split_recursive(block, size - 1, 0)
+def _sections(blocks: Column, size: int) -> Column:
+    """``(heading trail, body)`` of each chunk, in one scan of the blocks.
+
+    The trail holds the last heading of each level that no heading of a lower or equal level followed. Bodies are
+    added to the open chunk until the next would pass ``size``; a heading closes it.
+    """
+    heading_type = "struct<level:int,text:string>"
+    trail_type, done_type = f"array<{heading_type}>", "array<struct<heading:string,body:string>>"
+    state_type = f"struct<trail:{trail_type},open:string,done:{done_type}>"
+
+    def state(trail: Column, open_: Column, done: Column) -> Column:
+        return F.struct(trail.alias("trail"), open_.alias("open"), done.alias("done")).cast(state_type)
+
+    def closed(now: Column) -> Column:
+        heading = F.array_join(F.transform(now["trail"], lambda h: h["text"]), "\n")
+        chunk = F.array(F.struct(heading.alias("heading"), strip(now["open"]).alias("body")))
+        return F.when(now["open"] == "", now["done"]).otherwise(F.concat(now["done"], chunk))
+
+    def step(now: Column, block: Column) -> Column:
+        line = F.concat(block["text"], F.lit("\n"))
+        above = F.filter(now["trail"], lambda h: h["level"] < block["level"])
+        headed = state(F.concat(above, F.array(block.cast(heading_type))), F.lit(""), closed(now))
+        full = F.char_length(now["open"]) + F.char_length(line) > size
+        begun = state(now["trail"], line, closed(now))
+        longer = state(now["trail"], F.concat(now["open"], line), now["done"])
+        return F.when(block["level"] > 0, headed).when(full, begun).otherwise(longer)
+
+    start = state(F.array().cast(trail_type), F.lit(""), F.array().cast(done_type))
+    return F.aggregate(blocks, start, step, closed)
 
 
 def structural_chunk(
@@ -133,21 +148,24 @@ def structural_chunk(
     """Chunks cut at headings, with the heading trail in front of the text.
 
     ``kind`` is ``html`` or ``markdown``. Blocks under one heading are packed up to
-    ``size`` characters; a longer block is cut at lines and words. No text is dropped.
+    ``size`` characters; a longer block is cut at lines and words. No text is dropped. Python only
+    finds the blocks; trails and packing are expressions of one row, so nothing is exchanged. NULL, or a
+    page without a body, gives no row.
     """
 
-    @F.pandas_udf("array<struct<heading:string,body:string>>")
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("array<struct<level:int,text:string>>")
+    def blocks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield batch.map(
                 lambda t: []
                 if t is None
-                else [{"heading": h, "body": b} for h, b in sections(blocks_of(t, kind), size)]
+                else [{"level": v, "text": x} for v, x in block_lines(t, kind, size)]
             )
 
-    cut_up = pages.select(key, cut(F.col(markup)).alias("sections"))
-    rows = cut_up.select(key, F.posexplode("sections").alias("chunk_index", "s"))
-    return rows.select(
+    found = pages.select(key, blocks(F.col(markup)).alias("blocks"))
+    # Outer, since an inner explode would make Spark run the scan once more to test its size.
+    chunks = F.posexplode_outer(_sections(F.col("blocks"), size)).alias("chunk_index", "s")
+    return found.select(key, chunks).where("s IS NOT NULL").select(
         key,
         "chunk_index",
         F.col("s.heading").alias("heading"),

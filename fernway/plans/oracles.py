@@ -589,6 +589,83 @@ stripped AS (
     FROM chunks)
 SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY path) - 1 AS INTEGER) AS chunk_index, content
 FROM stripped WHERE content <> ''""")
+# Blocks as in html_to_text, the level of a heading behind a mark. Lists are packed one start after the other:
+# blocks of 600 characters or more into pieces of 599 (a word that long by its characters), then lines into bodies.
+SPACE = "[\\s\\x0b\\x1c-\\x1f\\x{85}\\x{a0}]+"
+
+
+def packed_text(by: str) -> str:
+    """The parts of one pack joined, white space at the ends stripped."""
+    joined = f"list_aggregate({by}, 'string_agg', '')"
+    return f"regexp_replace(regexp_replace({joined}, '^{SPACE}', ''), '{SPACE}$', '')"
+
+
+LEVELS = range(1, 7)
+PACKED = """
+    SELECT {by}, parts, upto, run, 1::BIGINT AS low, list_position(list_transform(upto, lambda u, i:
+               i > len(upto) - 1 OR upto[i + 1] > {most} OR run[i + 1] <> run[1]), true)::BIGINT AS high
+    FROM {lists}
+    UNION ALL
+    SELECT {by}, parts, upto, run, c.high + 1, list_position(list_transform(upto, lambda u, i:
+               i > c.high AND (i > len(upto) - 1 OR upto[i + 1] - upto[c.high] > {most}
+                               OR run[i + 1] <> run[c.high + 1])), true)::BIGINT
+    FROM {name} c WHERE c.high < len(upto)"""
+add("structural_chunk", f"""WITH RECURSIVE
+shown AS (SELECT page_id, regexp_replace(regexp_replace(html,
+       '(?is)<!--.*?-->|<head[ >].*?</head>|<script[ >].*?</script>|<style[ >].*?</style>',
+       '', 'g'), '<[A-Za-z/!][^<>]*$', '') AS x FROM pages),
+broken AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(x,
+       '[ \\t\\n\\r\\f]+', ' ', 'g'), '(?i)<h([1-6])( [^<>]*)?/?>', chr(10) || chr(2) || '\\1', 'g'),
+       '(?i)</?({BLOCKS})( [^<>]*)?/?>', chr(10), 'g'), '<[^<>]*>', '', 'g') AS x FROM shown),
+raw AS (SELECT page_id, unnest(string_split(x, chr(10))) AS line,
+               unnest(range(1, len(string_split(x, chr(10))) + 1)) AS pos FROM broken),
+blocks AS (
+    SELECT page_id, pos, CASE WHEN starts_with(line, chr(2)) THEN CAST(line[2] AS INT) ELSE 0 END AS level,
+           trim(regexp_replace(regexp_replace(replace(replace(replace(
+               CASE WHEN starts_with(line, chr(2)) THEN line[3:] ELSE line END,
+               '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;?', '&', 'g'), ' +', ' ', 'g'), ' ') AS text
+    FROM raw),
+seen AS (
+    SELECT *, count(*) FILTER (level > 0) OVER w AS section,
+           {", ".join(f"coalesce(max(pos) FILTER (level = {i}) OVER w, 0) AS p{i}" for i in LEVELS)},
+           {", ".join(f"last_value(CASE WHEN level = {i} THEN text END IGNORE NULLS) OVER w AS t{i}" for i in LEVELS)}
+    FROM blocks WHERE text <> '' WINDOW w AS (PARTITION BY page_id ORDER BY pos)),
+bodies AS (
+    SELECT page_id, section, pos, text, concat_ws(chr(10),
+           {", ".join(f"CASE WHEN p{i} > greatest(0, {', '.join(f'p{j}' for j in range(1, i)) or 0}) THEN t{i} END" for i in LEVELS)}
+           ) AS heading
+    FROM seen WHERE level = 0),
+word AS (
+    SELECT page_id, pos, unnest(words) AS part, unnest(range(1, len(words) + 1)) AS place
+    FROM (SELECT page_id, pos, list_transform(string_split(text, ' '),
+                 lambda x, i: CASE WHEN i = 1 THEN x ELSE ' ' || x END) AS words
+          FROM bodies WHERE length(text) >= 600)),
+unit AS (
+    SELECT page_id, pos, place, unnest(letters) AS part, unnest(range(1, len(letters) + 1)) AS letter,
+           2 * count(*) FILTER (length(part) >= 599) OVER (PARTITION BY page_id, pos ORDER BY place)
+               - CASE WHEN length(part) >= 599 THEN 1 ELSE 0 END AS run
+    FROM (SELECT *, CASE WHEN length(part) >= 599 THEN string_split(part, '') ELSE [part] END AS letters
+          FROM word)),
+units AS (
+    SELECT page_id, pos, list(part ORDER BY place, letter) AS parts, list(run ORDER BY place, letter) AS run,
+           list(CAST(upto AS BIGINT) ORDER BY place, letter) AS upto
+    FROM (SELECT *, sum(length(part)) OVER (PARTITION BY page_id, pos ORDER BY place, letter) AS upto FROM unit)
+    GROUP BY page_id, pos),
+pieces AS ({PACKED.format(by="page_id, pos", most=599, lists="units", name="pieces")}),
+line AS (
+    SELECT page_id, pos, low, {packed_text("parts[low:high]")} AS line FROM pieces
+    UNION ALL SELECT page_id, pos, 1, text FROM bodies WHERE length(text) < 600),
+lines AS (
+    SELECT page_id, section, heading, list(line || chr(10) ORDER BY pos, low) AS parts,
+           list(0::BIGINT) AS run, list(CAST(upto AS BIGINT) ORDER BY pos, low) AS upto
+    FROM (SELECT *, sum(length(line) + 1) OVER (PARTITION BY page_id, section ORDER BY pos, low) AS upto
+          FROM line JOIN bodies USING (page_id, pos) WHERE line <> '')
+    GROUP BY page_id, section, heading),
+chunks AS ({PACKED.format(by="page_id, section, heading", most=600, lists="lines", name="chunks")})
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY section, low) - 1 AS INTEGER) AS chunk_index,
+       heading, concat_ws(chr(10), nullif(heading, ''),
+           {packed_text("parts[low:high]")}) AS content
+FROM chunks""")
 add("synthetic_questions", f"""
 SELECT doc_id, chunk_index, concat('What does this passage say? ', content) AS question
 FROM (SELECT *, row_number() OVER (PARTITION BY doc_id

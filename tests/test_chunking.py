@@ -75,12 +75,52 @@ def test_structural_chunks_carry_their_heading_trail(spark):
         assert [r.chunk_index for r in rows] == [0, 1, 2, 3]
 
 
-def test_structural_chunks_keep_all_text_within_size():
+def test_structural_chunks_keep_all_text_within_size(spark):
     words = " ".join(f"w{i}" for i in range(900))
-    blocks = [(1, "Title"), (0, words), (0, "tail")]
-    out = ch.sections(blocks, 200)
-    assert all(len(body) <= 200 for _, body in out)
-    assert " ".join(b for _, b in out).split() == (words + " tail").split()
+    df = spark.createDataFrame([(1, f"<h1>Title</h1><p>{words}</p>tail")], "id int, t string")
+    out = ch.structural_chunk(df, "id", "t", size=200).orderBy("chunk_index").collect()
+    bodies = [r.content.removeprefix("Title\n") for r in out]
+    assert all(len(body) <= 200 for body in bodies) and {r.heading for r in out} == {"Title"}
+    assert " ".join(bodies).split() == (words + " tail").split()
+
+
+def plain_chunks(blocks, size):
+    """Heading trails by a stack, bodies packed one after the other."""
+    trail, held, out = [], "", []
+
+    def close():
+        if held:
+            out.append(("\n".join(t for _, t in trail), held.strip()))
+
+    for level, text in blocks:
+        if level:
+            close()
+            held, trail = "", [h for h in trail if h[0] < level] + [(level, text)]
+        else:
+            if len(held) + len(text) + 1 > size:
+                close()
+                held = ""
+            held += text + "\n"
+    close()
+    return out
+
+
+def test_structural_chunks_against_a_plain_scan(spark):
+    random.seed(5)
+    tags = ["h1", "h2", "h3", "h6", "p", "p", "p", "div", "li"]
+    texts = ["", "x", "é😀 b", "\u00a0y\u00a0", "word " * 30, "q" * 150, "a &amp; b"]
+    pages = [
+        "".join(f"<{t}>{random.choice(texts)}</{t}>" for t in random.choices(tags, k=random.randrange(40)))
+        for _ in range(60)
+    ]
+    df = spark.createDataFrame([*enumerate(pages), (99, None), (98, "<h1>only</h1>")], "id int, t string")
+    for size in (60, 200):
+        got = {}
+        for r in ch.structural_chunk(df, "id", "t", size=size).orderBy("chunk_index").collect():
+            assert r.content == (f"{r.heading}\n" if r.heading else "") + r.content[len(r.heading) + bool(r.heading) :]
+            got.setdefault(r.id, []).append((r.heading, r.content[len(r.heading) + bool(r.heading) :]))
+        want = {i: plain_chunks(ch.block_lines(p, "html", size), size) for i, p in enumerate(pages)}
+        assert got == {i: chunks for i, chunks in want.items() if chunks}
 
 
 def test_malformed_html():
