@@ -92,9 +92,10 @@ def learn_profiles(
         labelled.mapInPandas(_count_batches, "lang string, code long, n long")
         .groupBy("lang", "code")
         .agg(F.sum("n").alias("n"))
-        .withColumn("rank", F.row_number().over(order) - 1)
-        .where(F.col("rank") < size)
-        .select("lang", "code", "rank")
+        # Compared with the bare row number, so that Spark keeps ``size`` rows a task before the exchange.
+        .withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= size)
+        .select("lang", "code", (F.col("rank") - 1).alias("rank"))
     )
 
 
