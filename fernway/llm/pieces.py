@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from functools import cache
+from functools import cache, cached_property
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -16,6 +17,8 @@ BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 NONE = np.iinfo(np.int32).max
 CACHED = 300_000
+LONG = 64
+QUEUED = 4_096
 
 
 class PieceModel:
@@ -90,8 +93,61 @@ class PieceModel:
         last = set(blanks.values()) == {len(order) - 1}
         long_run = f"{BLANK}{{{most}}}(?={BLANK})|" if chain and last else ""
         self.split = re.compile(f"{long_run}{BLANK}*[^{BLANK}]+|{BLANK}+").findall
+        inside = {(a, b) for n in normal for a, b in zip(n, n[1:])}
+        self.inside = np.array(sorted(ord(a) << 21 | ord(b) for a, b in inside), np.int64)
         self.cache: dict[str, bytes] = {}
 
+    def segments(self, word: str) -> list[str]:
+        """A long word cut between all neighbours that stand side by side in no piece, so no merge can cross a
+        cut. A round then merges one pair in every segment, not one in the whole word."""
+        if len(word) <= LONG or not len(self.inside):
+            return [word]
+        chars = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.int64)
+        key = chars[:-1] << 21 | chars[1:]
+        at = np.minimum(np.searchsorted(self.inside, key), len(self.inside) - 1)
+        edges = [0, *(np.flatnonzero(self.inside[at] != key) + 1).tolist(), len(word)]
+        return [word[a:b] for a, b in zip(edges, edges[1:])]
+
+    @cached_property
+    def merges(self) -> dict[int, tuple[int, int]]:
+        """Rank and merged symbol of each pair."""
+        return dict(zip(self.keys.tolist(), zip(self.rank.tolist(), self.merged.tolist())))
+
+    def merge_queued(self, word: str) -> bytes:
+        """Ids of one very long segment, which would need about as many rounds as it has characters: pairs wait
+        in a heap by rank and place, so the time grows like a sort of them."""
+        chars = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.int64)
+        found = self.char_symbol[chars]
+        sym = np.where(found < 0, -chars - 1, found).tolist()
+        before, after = list(range(-1, len(sym) - 1)), [*range(1, len(sym)), -1]
+
+        def pair(i: int):
+            j = after[i] if i >= 0 else -1
+            if j < 0 or sym[i] < 0 or sym[j] < 0:
+                return None
+            made = self.merges.get(sym[i] * self.n_symbols + sym[j])
+            return made and (made[0], i, sym[i], sym[j], made[1])
+
+        heap = [p for p in map(pair, range(len(sym))) if p]
+        heapify(heap)
+        gone = NONE
+        while heap:
+            _, i, left, right, into = heappop(heap)
+            j = after[i]
+            # A symbol that was merged since makes the entry void.
+            if j < 0 or sym[i] != left or sym[j] != right:
+                continue
+            sym[i], sym[j], after[i] = into, gone, after[j]
+            if after[j] >= 0:
+                before[after[j]] = i
+            for p in (pair(before[i]), pair(i)):
+                if p:
+                    heappush(heap, p)
+        left = np.array([s for s in sym if s != gone], np.int64)
+        out = [b""]
+        self._emit(out, np.array([0]), np.array([len(left)]), left)
+        return out[0]
+
     def merge_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word as little-endian bytes.
 
@@ -173,10 +229,13 @@ class PieceModel:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts with begin and end, as little-endian unsigned 32-bit numbers."""
         split = [self.split(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
+        split = [[s for w in parts for s in self.segments(w)] for parts in split]
         known = self.cache
         if len(known) > CACHED:
             known.clear()
         new = list({w for parts in split for w in parts if w not in known})
+        known.update((w, self.merge_queued(w)) for w in new if len(w) > QUEUED)
+        new = [w for w in new if len(w) <= QUEUED]
         known.update(zip(new, self.merge_words(new)))
         begin_, end = np.array([[self.bos], [self.eos]], "<u4")
         return [begin_.tobytes() + b"".join([known[w] for w in p]) + end.tobytes() for p in split]

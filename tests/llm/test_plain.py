@@ -6,8 +6,8 @@ from collections import Counter
 
 import pytest
 
-from fernway.llm import langid, winnow
-from fernway.llm.queries import QUERIES
+from fernway.llm import langid, pieces, quality, winnow
+from fernway.llm.queries import QUERIES, piece_model
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -134,3 +134,98 @@ def test_language_query_equals_a_plain_version(spark):
     want = plain_predictions([(r.text, r.lang) for r in rows if not r.h], [r.text for r in rows], langid.PROFILE)
     got = {r.doc_id: (r.lang_pred, r.score) for r in QUERIES["op7_language_id"](spark, SF).collect()}
     assert got == {r.doc_id: w for r, w in zip(rows, want)}
+
+
+def test_long_words_equal_the_library():
+    import base64
+    import time
+
+    import numpy as np
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=piece_model())
+    model, rnd = pieces.PieceModel(piece_model()), random.Random(3)
+    texts = [
+        base64.b64encode(rnd.randbytes(150_000)).decode(),
+        "".join(rnd.choices("etaoinshrdlu", k=30_000)),  # cut nowhere, and too long for rounds
+        "".join(rnd.choices("etaoinshrdlu", k=900)),
+        "".join(rnd.choices(["the", "tion", "\U0001f600", "ü", "\u4e2d"], k=3_000)),
+        "a" * 20_001, "a" * 65, "-=" * 3_000, "x" + " " * 200 + "y" * 200, "\u4e2d" * 5_000, "e\u0301" * 5_000,
+    ]
+    start = time.time()
+    got = model.encode(texts)
+    assert time.time() - start < 30
+    for text, ids in zip(texts, got):
+        assert ids == np.array(library.encode(text, add_bos=True, add_eos=True), "<u4").tobytes()
+        assert model.decode(ids) == library.decode(np.frombuffer(ids, "<u4").tolist())
+
+
+def plain_model(patterns):
+    """Expectation-maximisation over vote patterns and their counts, in plain floats."""
+    import math
+
+    prior = 0.8
+    shares = {(name, c, v): quality.START[c][v] for name in quality.RULES for c in (0, 1) for v in (-1, 0, 1)}
+
+    def chance(votes):
+        odds = math.log(prior / (1 - prior))
+        for name, v in zip(quality.RULES, votes):
+            ratio = math.log(shares[name, 0, v] / shares[name, 1, v])
+            odds += max(0.0, ratio) if v == 1 else min(0.0, ratio) if v == -1 else 0.0
+        return 1 / (1 + math.exp(-odds))
+
+    for _ in range(quality.ROUNDS):
+        good = {p: n * chance(p) for p, n in patterns.items()}
+        bad = {p: n - good[p] for p, n in patterns.items()}
+        sums = sum(good.values()), sum(bad.values())
+        if not patterns:
+            break
+        for at, name in enumerate(quality.RULES):
+            for v in (-1, 0, 1):
+                for c, weight in enumerate((good, bad)):
+                    hit = sum(w for p, w in weight.items() if p[at] == v)
+                    shares[name, c, v] = (hit + 1) / (sums[c] + 3)
+        new = (sums[0] + 1) / (sums[0] + sums[1] + 2)
+        still, prior = abs(new - prior) < 1e-5, new
+        if still:
+            break
+    return chance
+
+
+def plain_votes(text):
+    w = WORD.findall(text or "")
+    windows = [tuple(w[i : i + 8]) for i in range(len(w) - 7)]
+    seen = Counter(windows)
+    repeats = len({j for i, x in enumerate(windows) if seen[x] > 1 for j in range(i, i + 8)})
+    held = [x for x in (text or "").split("\n") if WORD.search(x)]
+    chars, letters = sum(map(len, w)), sum(c.isalpha() for c in text or "")
+    capitals, symbols = sum(c.isupper() for c in text or ""), sum(c in "#*$%&|<>" for c in text or "")
+    n, dup, size = len(w), len(held) - len(set(held)), chars / max(1, len(w))
+
+    def vote(good, bad):
+        return -1 if bad else 1 if good else 0
+
+    failed = n < 20 or 100 * repeats > 30 * n
+    return failed, (
+        vote(n >= 50, n < 20),
+        vote(3.5 <= size <= 9, not 3 <= size <= 10.5),
+        vote(symbols * 100 <= n, symbols * 10 >= n),
+        vote(dup == 0, dup * 2 >= max(1, len(held))),
+        vote(repeats * 20 <= n, repeats * 5 >= n),
+        vote(capitals * 8 <= max(1, letters), capitals * 3 >= max(1, letters)),
+        vote(letters * 100 >= max(1, chars) * 92, letters * 100 < max(1, chars) * 75),
+    )
+
+
+def test_quality_verdict_equals_a_plain_version(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    texts = {r.doc_id: r.text for r in rows}
+    votes = {i: plain_votes(t) for i, t in texts.items()}
+    chance = plain_model(Counter(v for _, v in votes.values()))
+    got = QUERIES["op9_quality"](spark, SF).collect()
+    assert {r.doc_id for r in got} == set(texts) and len(got) == len(rows)
+    for r in got:
+        failed, own = votes[r.doc_id]
+        assert r.quality == pytest.approx(chance(own), abs=1e-9)
+        assert r.base_failed == failed and r.kept == (not failed and chance(own) >= 0.5)
+    assert len({r.kept for r in got}) == 2
