@@ -7,7 +7,7 @@ from fernway.plans.catalog import QUERIES
 from oracle import compare, duck
 
 SF = "/root/testdata/sf0.001"
-WITHOUT_SQL = {"structural_chunk", "ann_top_k", "score_rouge_l"}
+WITHOUT_SQL = {"ann_top_k", "score_rouge_l"}
 
 
 @pytest.fixture(scope="module")
