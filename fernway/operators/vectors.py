@@ -1,10 +1,11 @@
 """Embedding text and finding nearest vectors by cosine.
 
 A few queries go to the index: every task scans its rows where they lie and returns the k best
-for each query. Joins of many queries to an index never form a cross product. Index vectors are put
-into cells around pivot vectors and cells into slices of bounded size; a query is sent
-only to slices that can still hold one of its k nearest, and a task returns at most k
-rows per query and slice. This follows pivot-based nearest-neighbour joins for
+for each query. For joins of many queries to an index both are stored as packed blocks of bounded size, and
+tasks read pairs of blocks, so no vector is exchanged for another block's sake. Index vectors are put
+into cells around pivot vectors; a query is compared only with
+blocks that can still hold one of its k nearest, and a task returns at most k
+rows per query. The bounds are those of pivot-based nearest-neighbour joins for
 MapReduce (Lu, Shen, Chen, Ooi: PVLDB 5(10), 2012), with angles as the metric.
 ``ann`` has the approximate search of a stored index.
 """
@@ -18,10 +19,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ..functions.text import bind, terms
-from ..session import new_work_path
+from ..session import stored
 
 DIGITS = 6
 SLICE_ROWS = 20_000
@@ -31,6 +32,8 @@ SCORED_AT_ONCE = 256
 FEW_QUERIES = 4_096
 FEW_BYTES = 32 << 20
 SCANNED_AT_ONCE = 8_192
+# Queries whose best rows a task holds at a time.
+HELD_ROWS = 1 << 18
 # Pivots are the root of the number of index rows, within these bounds.
 PIVOTS = (64, 1 << 16)
 # Slack on bounds between float64 angles, far above their rounding error.
@@ -120,77 +123,100 @@ def assign_cells(index: DataFrame, key: str, vector: str, pivots: np.ndarray) ->
     ).select("id", "vec", "c.cell", "c.angle")
 
 
-def cell_stats(cells: DataFrame) -> pd.DataFrame:
-    """Rows and angle range per cell; one row per pivot reaches the driver."""
-    return (
-        cells.groupBy("cell")
-        .agg(
-            F.count("*").alias("n"),
-            F.min("angle").alias("near"),
-            F.max("angle").alias("far"),
-        )
-        .toPandas()
-        .sort_values("cell", ignore_index=True)
-    )
+SCHEMA = "query_id long, id long, score double"
+BLOCK = "cell int, near double, far double, ids binary, vectors binary"
 
 
-def _sliced(cells: DataFrame, stats: pd.DataFrame, slice_rows: int) -> DataFrame:
-    """Cut every cell into slices of about ``slice_rows`` rows by hash of the id."""
-    parts = [(int(c), math.ceil(n / slice_rows)) for c, n in zip(stats["cell"], stats["n"])]
-    # One row per pivot, at most twice the upper bound of PIVOTS.
-    counts = cells.sparkSession.createDataFrame(parts, "cell int, parts int")
-    return (
-        cells.join(F.broadcast(counts), "cell")
-        .withColumn("slice", F.pmod(F.xxhash64("id", F.lit(7)), F.col("parts")).cast("int"))
-        .drop("parts")
-    )
+def number_type(rows: DataFrame, vector: str):
+    return np.float32 if rows.schema[vector].dataType.elementType == T.FloatType() else np.float64
 
 
-SCHEMA = "query_id long, id long, score double"
+def blocks_of(rows: DataFrame, most: int, name: str) -> DataFrame:
+    """``(id, vec, cell, angle)`` packed, up to ``most`` neighbouring rows of one cell to a row, and stored.
+    Angles may be null."""
+    number = number_type(rows, "vec")
 
+    def pack(batches):
+        def packed(cell, parts):
+            ids, vectors, angles = (np.concatenate(x) for x in zip(*parts))
+            row = cell, angles.min(), angles.max(), ids.tobytes(), vectors.tobytes()
+            return pa.RecordBatch.from_pylist([dict(zip(fields.names, row))], fields)
 
-def _scores(k: int):
-    """Top k of one slice for one block of queries."""
-
-    def score(keys: tuple, queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": [], "id": [], "score": []})
-        if queries.empty or vectors.empty:
-            return empty.astype({"query_id": "int64", "id": "int64", "score": "float64"})
-        vectors = vectors.sort_values("id", kind="stable")
-        ids, matrix = vectors["id"].to_numpy(), _unit(vectors["v_vec"]).T
-        query_ids, wanted = queries["query_id"].to_numpy(), _unit(queries["vec"])
-        found = []
-        for start in range(0, len(wanted), SCORED_AT_ONCE):
-            scores = np.round(wanted[start : start + SCORED_AT_ONCE] @ matrix, DIGITS)
-            least = min(k, len(ids))
-            kth = np.partition(scores, -least, axis=1)[:, -least]
-            row, column = np.nonzero(scores >= kth[:, None])
-            hits = pd.DataFrame(
-                {
-                    "query_id": query_ids[start + row],
-                    "id": ids[column],
-                    "score": scores[row, column],
-                }
-            ).sort_values(["query_id", "score", "id"], ascending=[True, False, True])
-            found.append(hits.groupby("query_id").head(k))
-        return pd.concat(found)
-
-    return score
-
-
-def _visit(targets: DataFrame, sliced: DataFrame, k: int) -> DataFrame:
-    """Score queries in the slices they are sent to.
-
-    ``targets`` has ``(query_id, vec, block, cell, slice)``. A slice goes once to every
-    query block that asks for it, so a group holds one slice and one block at most.
+        fields = pa.schema(
+            [("cell", pa.int32()), ("near", pa.float64()), ("far", pa.float64()), ("ids", pa.binary()), ("vectors", pa.binary())]
+        )
+        held, n, of = [], 0, None
+        for batch in batches:
+            cells, ids = batch["cell"].to_numpy(), batch["id"].to_numpy()
+            angles = batch["angle"].to_numpy(zero_copy_only=False)
+            vectors = batch["vec"].flatten().to_numpy(zero_copy_only=False).astype(number).reshape(len(ids), -1)
+            ends = [*(np.flatnonzero(cells[1:] != cells[:-1]) + 1), len(ids)]
+            low = 0
+            for end in ends:
+                while low < end:
+                    if held and (cells[low] != of or n >= most):
+                        yield packed(of, held)
+                        held, n = [], 0
+                    of, high = int(cells[low]), min(end, low + most - n)
+                    held.append((ids[low:high], vectors[low:high], angles[low:high]))
+                    n, low = n + high - low, high
+        if held:
+            yield packed(of, held)
+
+    return stored(rows.select("id", "vec", "cell", "angle").mapInArrow(pack, BLOCK), name)
+
+
+def paired_blocks(asked: DataFrame, index: DataFrame) -> DataFrame:
+    """Every block of queries beside every block of the index.
+
+    Both are stored tables, which tasks read again and again, and nothing is exchanged. As far as all
+    cores stay busy, a task takes all index blocks for its query blocks, so that few tasks return rows
+    for one query.
     """
-    keys = ["cell", "slice", "block"]
-    asked = targets.select(*keys).distinct().select(*[F.col(c).alias(f"v_{c}") for c in keys])
-    vectors = sliced.join(
-        asked, (F.col("cell") == F.col("v_cell")) & (F.col("slice") == F.col("v_slice"))
-    ).select("id", F.col("vec").alias("v_vec"), *[f"v_{c}" for c in keys])
-    by_query, by_vector = targets.groupBy(*keys), vectors.groupBy(*[f"v_{c}" for c in keys])
-    return by_query.cogroup(by_vector).applyInPandas(_scores(k), SCHEMA)
+    context = asked.sparkSession.sparkContext
+    left = asked.select(F.xxhash64("ids", "vectors").alias("block"), *[F.col(c).alias(f"q_{c}") for c in ("ids", "vectors")])
+    pairs = left.crossJoin(index.hint("shuffle_replicate_nl"))
+    n, all_pairs = (d.rdd.getNumPartitions() for d in (asked, pairs))
+    wanted = max(n, 4 * context.defaultParallelism)
+    # Pairs of one part of the queries follow each other.
+    return pairs.coalesce(wanted) if wanted < all_pairs else pairs
+
+
+def scan_pairs(pairs: DataFrame, number, asks, k: int) -> DataFrame:
+    """The ``k`` best of each task for its queries. ``asks(unit, known, best, row)`` gives the places of the queries
+    that have to see an index block; ``known`` is a dict that it may keep things in for the query block."""
+
+    def unit_of(buffer: bytes, n: int, kind) -> np.ndarray:
+        matrix = np.frombuffer(buffer, kind).reshape(n, -1).astype(np.float64)
+        length = np.linalg.norm(matrix, axis=1, keepdims=True)
+        return matrix / np.where(length > 0, length, 1.0)
+
+    def scan(batches):
+        held, rows = {}, 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["block"] not in held:
+                    ids = np.frombuffer(row["q_ids"], np.int64)
+                    if rows + len(ids) > HELD_ROWS and held:
+                        yield from (best.rows(ids) for ids, _, _, best in held.values())
+                        held, rows = {}, 0
+                    rows += len(ids)
+                    held[row["block"]] = ids, unit_of(row["q_vectors"], len(ids), number[0]), {}, Best(len(ids), k)
+                _, unit, known, best = held[row["block"]]
+                some = asks(unit, known, best, row)
+                if not len(some):
+                    continue
+                own = np.frombuffer(row["ids"], np.int64)
+                matrix = unit_of(row["vectors"], len(own), number[1]).T
+                for start in range(0, len(some), SCORED_AT_ONCE):
+                    q = some[start : start + SCORED_AT_ONCE]
+                    scores = unit[q] @ matrix
+                    # Only rows that can hold a better one are rounded and sorted.
+                    live = scores.max(axis=1) >= best.score[q, -1] - 10.0**-DIGITS
+                    best.add(q[live], np.round(scores[live], DIGITS), own)
+        yield from (best.rows(ids) for ids, _, _, best in held.values())
+
+    return _ranked(pairs.mapInArrow(scan, SCHEMA), k)
 
 
 def _ranked(hits: DataFrame, k: int) -> DataFrame:
@@ -212,6 +238,10 @@ class Best:
         if len(ids) > self.k and np.isneginf(least).any():
             least = np.maximum(least, np.partition(scores, -self.k, axis=1)[:, -self.k])
         row, column = np.nonzero(scores >= least[:, None])
+        # Of copies, those with greater ids than a full list's last can't enter.
+        enters = scores[row, column] > self.score[queries[row], -1]
+        enters |= ids[column] < self.id[queries[row], -1]
+        row, column = row[enters], column[enters]
         live = np.unique(row)
         if not len(live):
             return
@@ -298,9 +328,10 @@ def knn_join(
 ) -> DataFrame:
     """``(query_id, id, score, rank)``: the ``k`` nearest index rows of every query, exactly.
 
-    Up to ``few`` queries are sent to the index, which is scanned in place. Of more, each query first
-    visits the cells nearest to it until they hold k rows, which bounds the angle of its k-th
-    neighbour; it then visits every other cell that the triangle inequality does not rule out. There
+    Up to ``few`` queries are sent to the index, which is scanned in place. More of them, and the rows of each
+    cell of the index, are packed into stored blocks; every pair of blocks is looked at, and a query leaves out
+    the index blocks that the triangle inequality rules out by its k best so far. What is
+    exchanged and written grows with the rows, not with the pairs. There
     are as many ``pivots`` as the root of the number of index rows, unless given.
 
     Keys must be integers; query keys must differ. Rows without a vector neither ask nor are found. A
@@ -317,70 +348,24 @@ def knn_join(
     if pivots is None:
         pivots = min(max(math.isqrt(total), PIVOTS[0]), PIVOTS[1])
     centres = choose_pivots(index, key, vector, pivots, total)
-    cells = assign_cells(index, key, vector, centres)
-    stats = cell_stats(cells)
-    used = stats["cell"].to_numpy()
-    sizes, near, far = (stats[c].to_numpy() for c in ("n", "near", "far"))
-    parts = np.ceil(sizes / slice_rows).astype(int)
-    sliced = _sliced(cells, stats, slice_rows)
-    n_blocks = max(1, math.ceil(queries.count() / query_rows))
+    cells = assign_cells(index.withColumn(key, F.col(key).cast("long")), key, vector, centres)
+    cells = cells.hint("rebalance", "cell").sortWithinPartitions("cell", "id")
     asked = queries.select(
-        F.col(query_key).cast("long").alias("query_id"), F.col(query_vector).alias("vec")
-    ).withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("int"))
-
-    def first_cells(angles: np.ndarray) -> np.ndarray:
-        """Mask of the nearest cells, enough to hold k rows."""
-        order = angles.argsort(axis=1)
-        held = np.cumsum(sizes[order], axis=1) - sizes[order]
-        wanted = held < k
-        mask = np.zeros_like(wanted)
-        np.put_along_axis(mask, order, wanted, axis=1)
-        return mask
-
-    def sent(mask: np.ndarray) -> list[list[dict]]:
-        return [
-            [
-                {"cell": int(used[c]), "slice": s}
-                for c in np.flatnonzero(row)
-                for s in range(parts[c])
-            ]
-            for row in mask
-        ]
-
-    slots = "array<struct<cell:int,slice:int>>"
-
-    @F.pandas_udf(slots)
-    def first(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series(sent(first_cells(_angles(batch, centres)[:, used])))
-
-    @F.pandas_udf(slots)
-    def rest(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for batch, kth in batches:
-            angles = _angles(batch, centres)[:, used]
-            # Scores are rounded, so the k-th may lie half a last digit further away.
-            score = kth.to_numpy() - 0.5 * 10.0**-DIGITS
-            reach = np.arccos(np.clip(score, -1.0, 1.0))[:, None] + EPSILON
-            possible = (angles - far[None, :] <= reach) & (near[None, :] - angles <= reach)
-            yield pd.Series(sent(possible & ~first_cells(angles)))
-
-    def target(column: Column, source: DataFrame) -> DataFrame:
-        return source.select("query_id", "vec", "block", F.explode(column).alias("t")).select(
-            "query_id", "vec", "block", "t.cell", "t.slice"
-        )
-
-    hits = _ranked(_visit(target(first(F.col("vec")), asked), sliced, k), k).drop("rank")
-    # The first pass feeds both the bound and the result; a written table computes it once
-    # and survives the loss of executors.
-    path = new_work_path(spark, "knn-first-pass")
-    hits.write.parquet(path)
-    hits = spark.read.schema(SCHEMA).parquet(path)
-    bound = hits.groupBy("query_id").agg(
-        F.when(F.count("*") >= k, F.min("score")).otherwise(F.lit(-1.0)).alias("kth")
+        F.col(query_key).cast("long").alias("id"),
+        F.col(query_vector).alias("vec"),
+        F.lit(0).alias("cell"),
+        F.lit(0.0).alias("angle"),
     )
-    again = asked.join(bound, "query_id")
-    others = _visit(target(rest(F.col("vec"), F.col("kth")), again), sliced, k)
-    return _ranked(hits.unionByName(others), k)
+    sent = spark.sparkContext.broadcast(centres)
+
+    def asks(unit: np.ndarray, known: dict, best: Best, row: dict) -> np.ndarray:
+        angle = np.arccos(np.clip(unit @ sent.value[row["cell"]], -1.0, 1.0))
+        # Scores are rounded, so the k-th may lie half a last digit further away.
+        reach = np.arccos(np.clip(best.score[:, -1] - 0.5 * 10.0**-DIGITS, -1.0, 1.0)) + EPSILON
+        return np.flatnonzero((angle - row["far"] <= reach) & (row["near"] - angle <= reach))
+
+    pairs = paired_blocks(blocks_of(asked, query_rows, "knn-asked"), blocks_of(cells, slice_rows, "knn-index"))
+    return scan_pairs(pairs, (number_type(asked, "vec"), number_type(cells, "vec")), asks, k)
 
 
 def retrieve_context(

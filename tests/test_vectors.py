@@ -129,6 +129,21 @@ def test_few_queries_leave_the_index_where_it_is(spark):
     assert df.count() == 120
 
 
+def exchanges(df):
+    return re.findall(r"Exchange (\w+\(\w+)", df._jdf.queryExecution().executedPlan().toString())
+
+
+@pytest.mark.parametrize("many", [1, 3])
+def test_many_queries_exchange_only_what_they_found(spark, many):
+    """Of a join of many queries no vector is exchanged, however many blocks of queries there are."""
+    rng = np.random.default_rng(9)
+    index = frame(spark, np.repeat(clustered(rng, 60), many, axis=0))
+    df = ve.knn_join(index, "id", "v", index, "id", "v", 4, pivots=5, slice_rows=16, query_rows=7, few=0)
+    assert exchanges(df) == ["hashpartitioning(query_id"]
+    want = brute([r.v for r in index.collect()], [r.v for r in index.collect()], 4)
+    assert {q: [i for i, _ in x] for q, x in result(df).items()} == {q: [i for i, _ in x] for q, x in want.items()}
+
+
 def test_null_vectors_neither_ask_nor_are_found(spark):
     rows = [(1, [1.0, 0.0]), (2, None), (3, [0.5, 0.5])]
     df = spark.createDataFrame(rows, "id long, v array<double>")
