@@ -94,14 +94,15 @@ def train_classifier(train: DataFrame, text: str, label: str) -> NaiveBayes:
 def classify(model: NaiveBayes, df: DataFrame, key: str, text: str) -> DataFrame:
     """Add column ``prediction``: the label of the greatest posterior, ties to the first in order.
 
-    Terms are counted per row before they meet the model; unknown ones say nothing, so a text without a
-    known term gets the most frequent label. Keys must differ. A model without labels predicts NULL.
+    Unknown terms say nothing, so a text without a known term gets the most frequent label. Every use of a term meets
+    the model by itself: sums of whole numbers are the same, and a task holds one entry a row, not one
+    for every row and term. Keys must differ. A model without labels predicts NULL.
     """
     if not model.labels:
         return df.withColumn("prediction", F.lit(None).cast("string"))
-    counted = exploded(df, [key], terms(F.col(text)), "term").groupBy(key, "term").count()
-    known = lookup_join(counted, model.terms, ["term"], "inner")
-    sums = [F.sum(F.col("count") * F.get("_weights", F.lit(i))) for i in range(len(model.labels))]
+    used = exploded(df, [key], terms(F.col(text)), "term")
+    known = lookup_join(used, model.terms, ["term"], "inner")
+    sums = [F.sum(F.get("_weights", F.lit(i))) for i in range(len(model.labels))]
     scored = df.join(known.groupBy(key).agg(F.array(*sums).alias("_sums")), key, "left")
     posterior = [F.coalesce(F.get("_sums", F.lit(i)), F.lit(0)) + p for i, p in enumerate(model.priors)]
     # The greatest score, then the first label: the later ones have lower second parts.

@@ -289,3 +289,14 @@ def test_first_chat_span_needs_no_sort(spark):
         assert got[1] == (3, 99, 10, 11) and got[2] == (7, 9, 7, 8) and got[3] == (1, 2, None, None)
     plan = trace_source(one(spark, shape.format("long"), *rows))._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "Sort [" not in plan
+
+
+def test_classifier_holds_one_entry_a_row(spark):
+    """Terms of the rows to predict are not grouped by row and term: a task held an entry for each."""
+    train = spark.createDataFrame([("red red apple", "a"), ("blue sky sky", "b"), ("blue", "b")], "text string, label string")
+    rows = [(1, "red red sky"), (2, "sky sky red blue"), (3, "unknown"), (4, None), (5, "apple apple blue sky")]
+    model = pr.train_classifier(train, "text", "label")
+    got = pr.classify(model, spark.createDataFrame(rows, "id int, text string"), "id", "text")
+    assert {r.id: r.prediction for r in got.collect()} == {1: "a", 2: "b", 3: "b", 4: "b", 5: "b"}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and not re.search(r"Aggregate\(keys=\[id#\d+, term", plan)
