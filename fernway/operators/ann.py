@@ -7,7 +7,8 @@ trained numbers and what was measured when the index was built: how many cells a
 and how many candidates it keeps, so that the wanted share of true neighbours is found.
 
 A search opens the partitions of the cells that its queries probe and reads the column of their
-codes; vectors are compared for the best candidates only.
+codes; vectors are compared for the best candidates only. With many queries the vectors of the opened cells
+are compared at once, without codes.
 """
 
 from __future__ import annotations
@@ -30,10 +31,14 @@ from .vectors import (
     SCORED_AT_ONCE,
     SLICE_ROWS,
     Best,
+    blocks_of,
     few_queries,
     knn_join,
     matrix_of,
+    number_type,
+    paired_blocks,
     sampled_vectors,
+    scan_pairs,
     scan_top_k,
 )
 
@@ -190,52 +195,24 @@ def _candidates_few(spark, path: str, model: Model, few, k: int, probes: int) ->
     return _best_of(codes.mapInArrow(_rank_codes(sent, k), CANDIDATES), k)
 
 
-def _candidates_many(
-    spark, path: str, model: Model, queries: DataFrame, k: int, probes: int, slice_rows: int, query_rows: int
+def _search_many(
+    model: Model, queries: DataFrame, vectors: DataFrame, k: int, slice_rows: int, query_rows: int
 ) -> DataFrame:
-    """Queries go to the cells they open; a task holds one slice of codes and one block of queries."""
-    codes = _read(spark, path).select("id", "code", "cell")
-    sent = spark.sparkContext.broadcast(model)
-
-    @F.pandas_udf("array<int>")
-    def opened(vectors: pd.Series) -> pd.Series:
-        unit = matrix_of(pa.array(vectors.to_list(), pa.list_(pa.float64())))
-        return pd.Series(list(sent.value.probed(unit, probes).astype(np.int32)))
-
-    sizes = codes.groupBy("cell").agg(F.ceil(F.count("*") / slice_rows).cast("int").alias("parts"))
-    # One row a cell.
-    sizes = F.broadcast(sizes)
-    blocks = max(1, math.ceil(queries.count() / query_rows))
-    asked = queries.select("query_id", "vec", F.explode(opened("vec")).alias("cell")).join(sizes, "cell")
-    asked = asked.select(
-        "query_id",
-        "vec",
-        "cell",
-        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("slice"),
-        F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"),
-    )
-    keys = ["cell", "slice", "block"]
-    wanted = asked.select(*[F.col(c).alias(f"v_{c}") for c in keys]).distinct()
-    v_slice = F.pmod(F.xxhash64("id", F.lit(7)), F.col("parts")).cast("int")
-    sliced = codes.join(sizes, "cell").select("id", "code", F.col("cell").alias("v_cell"), v_slice.alias("v_slice"))
-    rows = sliced.join(wanted, ["v_cell", "v_slice"])
-
-    def rank(key: tuple, questions: pa.Table, coded: pa.Table) -> pa.Table:
-        questions, coded = questions.combine_chunks(), coded.combine_chunks()
-        ids = questions["query_id"].to_numpy()
-        best = Best(len(ids), k)
-        if len(ids) and coded.num_rows:
-            unit = matrix_of(questions["vec"].combine_chunks())
-            codes = np.frombuffer(b"".join(coded["code"].to_pylist()), np.uint8).reshape(coded.num_rows, -1)
-            own = coded["id"].to_numpy()
-            matrix = sent.value.decode(int(key[0].as_py()), codes).T
-            for start in range(0, len(ids), SCORED_AT_ONCE):
-                q = np.arange(start, min(start + SCORED_AT_ONCE, len(ids)))
-                best.add(q, unit[q] @ matrix, own)
-        return pa.Table.from_batches([best.rows(ids)])
+    """Blocks of queries meet blocks of the cells' vectors, and a query is compared with those it opens.
+
+    A cell is read for very many queries at once, so its vectors are compared right there: candidates by code would
+    have to be exchanged, several for every query and cell."""
+    sent = queries.sparkSession.sparkContext.broadcast(model)
+
+    def opened(unit: np.ndarray, known: dict, best: Best, row: dict) -> np.ndarray:
+        if "cells" not in known:
+            known["cells"] = _opened(sent.value, unit, sent.value.probes)
+        return np.flatnonzero(known["cells"][:, row["cell"]])
 
-    found = asked.groupBy(*keys).cogroup(rows.groupBy(*[f"v_{c}" for c in keys])).applyInArrow(rank, CANDIDATES)
-    return _best_of(found, k)
+    asked = queries.select(F.col("query_id").alias("id"), "vec", F.lit(0).alias("cell"), F.lit(0.0).alias("angle"))
+    cells = vectors.select("id", "vec", "cell", F.lit(0.0).alias("angle"))
+    pairs = paired_blocks(blocks_of(asked, query_rows, "ann-asked"), blocks_of(cells, slice_rows, "ann-cells"))
+    return scan_pairs(pairs, (number_type(asked, "vec"), number_type(cells, "vec")), opened, k)
 
 
 def _reranked(vectors: DataFrame, candidates: DataFrame, asked: DataFrame, k: int) -> DataFrame:
@@ -338,9 +315,9 @@ def ann_search(
 ) -> DataFrame:
     """``(query_id, id, score, rank)``: about the ``k`` nearest rows of a stored index for every query.
 
-    Reads the model, the codes of the opened cells, and the vectors of the candidates; scores are
-    true cosines. Up to ``few`` queries are sent to the codes, which stay in their tasks. Rows without a
-    vector don't ask.
+    Scores are true cosines. Up to ``few`` queries are sent to the codes of the opened cells, which stay in their
+    tasks, and then only the vectors of the candidates are read. More queries are compared with all vectors of the
+    cells that they open, as pairs of stored blocks. Rows without a vector don't ask.
     """
     spark = queries.sparkSession
     model = load_model(spark, path)
@@ -353,11 +330,9 @@ def ann_search(
         return spark.createDataFrame([], CANDIDATES + ", rank int")
     if not model.shortlist:
         return knn_join(asked, "query_id", "vec", vectors, "id", "vec", k, few=few)
-    most = model.shortlist * k
     if sent is None:
-        found = _candidates_many(spark, path, model, asked, most, model.probes, slice_rows, query_rows)
-    else:
-        opens = _opened(model, sent[1], model.probes)
-        vectors = vectors.where(F.col("cell").isin([int(c) for c in np.flatnonzero(opens.any(axis=0))]))
-        found = _candidates_few(spark, path, model, sent, most, model.probes)
+        return _search_many(model, asked, vectors, k, slice_rows, query_rows)
+    opens = _opened(model, sent[1], model.probes)
+    vectors = vectors.where(F.col("cell").isin([int(c) for c in np.flatnonzero(opens.any(axis=0))]))
+    found = _candidates_few(spark, path, model, sent, model.shortlist * k, model.probes)
     return _reranked(vectors, found, asked, k)

@@ -144,6 +144,15 @@ def test_many_queries_exchange_only_what_they_found(spark, many):
     assert {q: [i for i, _ in x] for q, x in result(df).items()} == {q: [i for i, _ in x] for q, x in want.items()}
 
 
+def test_many_searches_exchange_only_what_they_found(spark, tmp_path):
+    index = frame(spark, clustered(np.random.default_rng(3), 600, width=10, clusters=20))
+    path = str(tmp_path / "ann")
+    an.build_ann_index(index, "id", "v", path, k=5)
+    df = an.ann_search(index, "id", "v", path, 5, few=0, slice_rows=16, query_rows=70)
+    assert exchanges(df) == ["hashpartitioning(query_id"]
+    assert shares(ve.knn_join(index, "id", "v", index, "id", "v", 5), df) >= 0.9
+
+
 def test_null_vectors_neither_ask_nor_are_found(spark):
     rows = [(1, [1.0, 0.0]), (2, None), (3, [0.5, 0.5])]
     df = spark.createDataFrame(rows, "id long, v array<double>")
