@@ -2,25 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..functions.joins import fits_broadcast, lookup_join
 from ..session import stored
-from ..functions.text import codes, email_addresses, exploded, terms
+from ..functions.text import bind, codes, email_addresses, exploded, terms
+
+
+def _counted(array: Column) -> Column:
+    """``(term, tf)`` of each distinct term of an array: the lengths of the runs once it is sorted."""
+
+    def ends(ordered: Column) -> Column:
+        size = F.size(ordered)
+        last = lambda i: (i == size) | (F.get(ordered, i) != F.get(ordered, i - 1))
+        found = F.when(size > 0, F.filter(F.sequence(F.lit(1), size), last))
+        return bind(
+            found,
+            lambda end: F.transform(
+                end,
+                lambda at, i: F.struct(
+                    F.get(ordered, at - 1).alias("term"),
+                    (at - F.coalesce(F.get(end, i - 1), F.lit(0))).cast("long").alias("tf"),
+                ),
+            ),
+        )
+
+    return bind(F.sort_array(array), ends)
+
+
+def _term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``(key, term, tf)``. Terms are counted inside their row; only those of keys that several rows hold are exchanged."""
+    rows = exploded(docs, [key], _counted(terms(F.col(text))), "_c").select(key, "_c.term", "_c.tf")
+    repeated = stored(docs.groupBy(key).count().where("count > 1").select(F.col(key).alias("_key")), "repeated-keys")
+    if repeated.isEmpty():
+        return rows
+    if fits_broadcast(repeated):
+        repeated = F.broadcast(repeated)
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    merged = rows.join(repeated, same, "left_semi").groupBy(key, "term").agg(F.sum("tf").alias("tf"))
+    return rows.join(repeated, same, "left_anti").unionByName(merged)
 
 
 def extract_keywords(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     """The ``n`` terms of each document with the highest tf·idf, rounded to 6 places.
 
-    Map tasks count terms before the exchange, so one row per document and distinct term
-    moves on, not one per token. The counts are stored, so texts are read once. A common word may
-    be in most documents: both sides of its join come from stored tables, and only then does
+    The counts of terms are stored, so texts are read once. Where the terms' numbers of documents are few enough to
+    be sent to the counts, only the ``n`` best of a document are exchanged. A common word may
+    be in most documents: both sides of a shuffled join come from stored tables, and only then does
     adaptive execution split a skewed partition.
     """
-    tokens = exploded(docs, [key], terms(F.col(text)), "term")
-    counted = stored(tokens.groupBy(key, "term").agg(F.count("*").alias("tf")), "term-counts")
+    counted = stored(_term_counts(docs, key, text), "term-counts")
     frequency = stored(counted.groupBy("term").agg(F.count("*").alias("df")), "term-documents")
     total = docs.where(F.col(text).isNotNull()).count()
-    joined = counted.join(frequency, "term")
+    joined = lookup_join(counted, frequency, ["term"], "inner")
     weight = F.round(F.col("tf") * F.log(F.lit(total + 1.0) / (F.col("df") + 1.0)), 6)
     order = W.partitionBy(key).orderBy(F.desc("weight"), F.col("term"))
     ranked = joined.withColumn("weight", weight).withColumn("rank", F.row_number().over(order))

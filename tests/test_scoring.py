@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -6,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from fernway.functions import text as tx
-from fernway.operators import predict as pr, scoring as sc, tables as tb
+from fernway.operators import keywords as kw, predict as pr, scoring as sc, tables as tb
 from fernway.operators.generators import INSURERS, gen_practices, gen_visits
 from fernway.plans.catalog import QUERIES
 from fernway.plans.fixtures import Tables
@@ -300,3 +301,36 @@ def test_classifier_holds_one_entry_a_row(spark):
     assert {r.id: r.prediction for r in got.collect()} == {1: "a", 2: "b", 3: "b", 4: "b", 5: "b"}
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and not re.search(r"Aggregate\(keys=\[id#\d+, term", plan)
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_keywords_exchange_only_the_best_terms(spark, repeated):
+    rows = [(i, f"common word{i % 3} word{i % 3} own{i}, Own{i} x{i % 7}") for i in range(40)] + [(50, ""), (51, None)]
+    if repeated:
+        rows += [(3, "own3 word1 late"), (3, None), (None, "null key common"), (None, "null key twice twice")]
+    docs = spark.createDataFrame(rows, "id int, t string")
+    uses, held = {}, {}
+    for key, text in rows:
+        for term in re.findall("[a-z0-9]+", (text or "").lower()):
+            uses[key, term] = uses.get((key, term), 0) + 1
+    for _, term in uses:
+        held[term] = held.get(term, 0) + 1
+    total, want = sum(text is not None for _, text in rows), {}
+    for (key, term), tf in uses.items():
+        want.setdefault(key, []).append((-round(tf * math.log((total + 1) / (held[term] + 1)), 6), term))
+    want = {key: [(term, -weight) for weight, term in sorted(found)[:3]] for key, found in want.items()}
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables of any size
+    try:
+        if not repeated:
+            plan = kw._term_counts(docs, "id", "t")._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan
+        df = kw.extract_keywords(docs, "id", "t", 3)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert re.findall(r"Exchange hashpartitioning\((\w+)", plan) == ["id"] and "WindowGroupLimit" in plan
+        got = {}
+        for r in sorted(df.collect(), key=lambda r: r["rank"]):
+            got.setdefault(r.id, []).append((r.term, pytest.approx(r.weight)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert got == want
