@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.joins import fits_broadcast, lookup_join
+from ..functions.joins import fits_broadcast
 from ..session import stored
 from ..functions.text import bind, codes, email_addresses, exploded, terms
 
+# Terms of most documents whose numbers of documents are sent to the counts, if not all are.
+COMMON_TERMS = 100_000
+
 
 def _counted(array: Column) -> Column:
     """``(term, tf)`` of each distinct term of an array: the lengths of the runs once it is sorted."""
@@ -43,22 +46,35 @@ def _term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.join(repeated, same, "left_anti").unionByName(merged)
 
 
-def extract_keywords(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
+def extract_keywords(
+    docs: DataFrame, key: str, text: str, n: int, *, common_terms: int = COMMON_TERMS
+) -> DataFrame:
     """The ``n`` terms of each document with the highest tf·idf, rounded to 6 places.
 
     The counts of terms are stored, so texts are read once. Where the terms' numbers of documents are few enough to
-    be sent to the counts, only the ``n`` best of a document are exchanged. A common word may
-    be in most documents: both sides of a shuffled join come from stored tables, and only then does
-    adaptive execution split a skewed partition.
+    be sent to the counts, only the ``n`` best of a document are exchanged. Else that is so for the ``common_terms`` terms
+    of most documents, and the counts of all other terms are exchanged.
     """
     counted = stored(_term_counts(docs, key, text), "term-counts")
     frequency = stored(counted.groupBy("term").agg(F.count("*").alias("df")), "term-documents")
     total = docs.where(F.col(text).isNotNull()).count()
-    joined = lookup_join(counted, frequency, ["term"], "inner")
     weight = F.round(F.col("tf") * F.log(F.lit(total + 1.0) / (F.col("df") + 1.0)), 6)
     order = W.partitionBy(key).orderBy(F.desc("weight"), F.col("term"))
-    ranked = joined.withColumn("weight", weight).withColumn("rank", F.row_number().over(order))
-    return ranked.where(F.col("rank") <= n).select(key, "term", "weight", "rank")
+
+    def best(weighted: DataFrame) -> DataFrame:
+        return weighted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+
+    if fits_broadcast(frequency):
+        weighted = counted.join(F.broadcast(frequency), "term").withColumn("weight", weight)
+    else:
+        # Of the terms of most documents, each document's best are found where its counts lie.
+        common = stored(frequency.orderBy(F.desc("df"), "term").limit(common_terms), "term-common")
+        common, parts = F.broadcast(common), [key, "term", "weight"]
+        found = best(counted.join(common, "term").withColumn("weight", weight)).select(*parts)
+        rare = counted.join(common, "term", "left_anti").join(frequency, "term").withColumn("weight", weight)
+        weighted = found.unionByName(rare.select(*parts))
+    ranked = best(weighted)
+    return ranked.select(key, "term", "weight", "rank")
 
 
 def extract_emails(docs: DataFrame, key: str, text: str) -> DataFrame:

@@ -334,3 +334,14 @@ def test_keywords_exchange_only_the_best_terms(spark, repeated):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert got == want
+
+
+def test_keywords_of_a_large_vocabulary(spark, monkeypatch):
+    """Whatever terms count as common, the result is that of one join."""
+    rows = [(i, f"all half{i % 2} third{i % 3} own{i} own{i} x{i % 7} all") for i in range(30)] + [(None, "all x1 own3")]
+    docs = spark.createDataFrame(rows, "id int, t string")
+    want = sorted(map(str, kw.extract_keywords(docs, "id", "t", 3).collect()))
+    monkeypatch.setattr(kw, "fits_broadcast", lambda df: False)
+    for common in (2, 9, 1000):
+        got = kw.extract_keywords(docs, "id", "t", 3, common_terms=common)
+        assert sorted(map(str, got.collect())) == want
