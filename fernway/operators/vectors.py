@@ -21,6 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
+from ..functions.joins import fits_broadcast
 from ..functions.text import bind, terms
 from ..session import stored
 
@@ -36,6 +37,8 @@ SCANNED_AT_ONCE = 8_192
 HELD_ROWS = 1 << 18
 # Pivots are the root of the number of index rows, within these bounds.
 PIVOTS = (64, 1 << 16)
+# Distinct ids of passages up to this many are sent to the passages.
+ASKED_IDS = 1 << 20
 # Slack on bounds between float64 angles, far above their rounding error.
 EPSILON = 1e-6
 
@@ -373,11 +376,16 @@ def retrieve_context(
 ) -> DataFrame:
     """Passages of each query's neighbours, best first, as one context column.
 
-    A query has at most k neighbours, so its list is bounded by k.
+    A query has at most k neighbours, so its list is bounded by k. Neighbours are stored, as the distinct ids
+    among them say which passages are asked for: where those ids fit (``ASKED_IDS``) they are sent to the passages,
+    and no other text is exchanged.
     """
-    found = neighbours.join(
-        passages.select(F.col(key).alias("id"), F.col(text).alias("_text")), "id"
-    )
+    found = stored(neighbours.select("query_id", "id", "rank"), "context-found")
+    rows = passages.select(F.col(key).alias("id"), F.col(text).alias("_text"))
+    asked = found.select("id").distinct()
+    if fits_broadcast(asked, ASKED_IDS):
+        rows = rows.join(F.broadcast(asked), "id", "left_semi")
+    found = found.join(rows, "id")
     return found.groupBy("query_id").agg(
         F.count("*").alias("n_passages"),
         F.array_sort(F.collect_list(F.struct("rank", "_text"))).alias("_p"),

@@ -182,3 +182,41 @@ def test_embeddings_are_unit_vectors_and_equal_for_equal_text(spark):
     assert rows[1] == rows[2] != rows[3]
     assert abs(np.linalg.norm(rows[3]) - 1) < 1e-5
     assert np.linalg.norm(rows[4]) == 0
+
+
+def context_tables(spark, n=40):
+    found = spark.createDataFrame(
+        [(q, (q * 7 + r) % 12, 0.5, r) for q in range(6) for r in (1, 2, 3)], "query_id long, id long, score double, rank int"
+    )
+    texts = [(i, f"text {i}") for i in range(n)] + [(3, "again"), (4, None), (None, "nobody")]
+    return found, spark.createDataFrame(texts, "doc_id long, text string")
+
+
+@pytest.mark.parametrize("most", [ve.ASKED_IDS, 0])
+def test_context_takes_every_passage_with_an_asked_id(spark, monkeypatch, most):
+    monkeypatch.setattr(ve, "ASKED_IDS", most)
+    found, passages = context_tables(spark)
+    got = {r.query_id: (r.n_passages, r.context) for r in ve.retrieve_context(found, passages, "doc_id", "text").collect()}
+    held = {}
+    for p in passages.collect():
+        held.setdefault(p.doc_id, []).append(p.text)
+    want = {}
+    for f in sorted(found.collect(), key=lambda f: f["rank"]):
+        # Nulls come first and count, but are not joined.
+        want.setdefault(f.query_id, []).extend(sorted(held[f.id], key=lambda t: t or ""))
+    assert got == {q: (len(x), "\n\n".join(t for t in x if t is not None)) for q, x in want.items()}
+
+
+def test_context_exchanges_no_passage_that_nobody_asked_for(spark):
+    """The passages meet the asked ids where they lie, before their exchange."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found, passages = context_tables(spark)
+        plan = ve.retrieve_context(found, passages, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    lines = plan.splitlines()
+    moved = [i for i, x in enumerate(lines) if re.search(r"Exchange hashpartitioning\(id", x)]
+    below = [lines[i + 1] + lines[i + 2] for i in moved]
+    assert any("BroadcastHashJoin" in x and "LeftSemi" in x for x in below), plan
