@@ -190,6 +190,25 @@ def test_suffix_bounds_each_transform(spark, docs, monkeypatch):
     )
 
 
+def test_suffix_at_400_bytes(spark):
+    """More than 50 words need not be 400 bytes: shorter passages stay, longer ones go whole."""
+    rnd = random.Random(400)
+    some, want = [], []
+    for size in (380, 394, 399, 400, 401, 640, 800):
+        passage = " ".join("".join(rnd.choices("abcdefgh", k=6)) for _ in range(120))[: size - 1] + "z"
+        assert len(WORD.findall(passage)) > 50
+        # No neighbours alike, so that nothing beside the passage repeats.
+        for left, right in ("ij", "kl", "mn"):
+            ahead, behind = ("".join(rnd.choices("opqr ", k=rnd.randint(50, 900))) for _ in range(2))
+            some.append(ahead + left + passage + right + behind)
+            want.append(size if size >= 400 else 0)
+    got = suffix.remove_repeats(spark.createDataFrame(rows_of(some), SHAPE)).collect()
+    assert [r.n_removed for r in sorted(got, key=lambda r: r.doc.doc_id)] == want
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == sorted(
+        brute_repeats(some, 400)
+    )
+
+
 def test_bwt_against_counting():
     rnd = random.Random(5)
     for trial in range(40):
